@@ -13,23 +13,23 @@ from visittrail.operators.plans import complete_rows
 from visittrail.schema import STUDY, TABLE_COLUMNS
 
 VISIT = [STUDY, "docid", "sitecounter", "countryid", "visitid", "mvseq"]
-STEP = [*VISIT, "approvalid"]
+# The same identity as join keys: the parts that may be missing in a match are one struct.
+VISIT_KEY = [STUDY, "docid", "countryid", "visitid", "place"]
+PLACE = ["sitecounter", "mvseq"]
 APPROVAL_COLUMNS = [STUDY, *TABLE_COLUMNS["mv"][:-1]]
 
 # What makes two approval rows the same step; the rest is reduced to a maximum or a set.
 SAME_STEP = [
-    *STEP, "dayid", "username", "user_full_name", "approvalstage", "approvaldat",
-    "approvalname", "appdurat", "mvmultiday",
+    *VISIT_KEY, "approvalid", "dayid", "username", "user_full_name", "approvalstage",
+    "approvaldat", "approvalname", "appdurat", "mvmultiday",
 ]
 
-# Step numbers are 32-bit, so a visit has at most 65,536 blocks of at most 65,536 steps.
-BLOCK = 65536
+# One outcome of a step: the stage and date recorded under its number.
+OUTCOME = [*VISIT_KEY, "approvalid", "approvalstage", "approvaldat"]
 
-FACT_COLUMNS = [
-    *VISIT, "approvalid", "dayid", "username", "user_full_name", "mvperf", "mvrepname", "mvdat",
-    "approvaldat", "approvalname", "appdurat", "mvmultiday", "mvendat", "next_date",
-    "next_stage_reject", "next_approval_id",
-]
+# A visit's steps are ordered in blocks of this many consecutive numbers, so that one task
+# orders at most this many steps times their distinct outcomes.
+BLOCK = 1024
 
 
 def complete_approvals(mv: DataFrame) -> DataFrame:
@@ -38,19 +38,18 @@ def complete_approvals(mv: DataFrame) -> DataFrame:
 
 def next_approval(approvals: DataFrame) -> DataFrame:
     """Distinct approval rows with the number of the next step of the same visit."""
-    steps = _numbered(approvals).select(*STEP).distinct()
-    following = _with_next(steps, F.struct("approvalid"))
-    return _join_steps(
-        approvals.distinct(), following.withColumnRenamed("approvalid", "step_id")
-    ).select(*APPROVAL_COLUMNS, F.col("next_step.approvalid").alias("next_approval_id"))
+    rows = approvals.distinct().withColumn("place", F.struct(*PLACE))
+    return _with_following(rows, step_chain(approvals)).select(
+        *APPROVAL_COLUMNS, "next_approval_id"
+    )
 
 
 def next_approval_date(approvals: DataFrame, as_of: datetime.date) -> DataFrame:
     """Approval rows beside each row of the next step: its date and whether it rejects."""
     numbered = next_approval(approvals)
     later = approvals.select(
-        *(F.col(c).alias(f"r_{c}") for c in STEP), F.col("approvaldat").alias("r_date"),
-        F.col("approvalstage").alias("r_stage"),
+        *(F.col(c).alias(f"r_{c}") for c in [*VISIT, "approvalid"]),
+        F.col("approvaldat").alias("r_date"), F.col("approvalstage").alias("r_stage"),
     )
     same_visit = F.lit(True)
     for key in VISIT[:-1]:
@@ -78,51 +77,81 @@ def next_date(has_next: Column, date: Column, as_of: datetime.date) -> Column:
     return F.when(has_next, date).when(is_open, F.lit(as_of)).alias("next_date")
 
 
-def approval_chain(approvals: DataFrame) -> DataFrame:
-    """One row per numbered step: its outcomes and the step that follows it.
+def step_chain(approvals: DataFrame) -> DataFrame:
+    """Distinct outcomes of every visit's steps, with the number and the results of the next.
 
-    Outcomes are the distinct (date, stage) pairs recorded under the step's number.
+    Rows that cannot be matched to another one, for lack of a key or number, are left out;
+    those that only lack a site counter have no next step.
     """
-    outcome = F.struct("approvaldat", "approvalstage")
-    steps = _numbered(approvals).groupBy(*STEP).agg(F.collect_set(outcome).alias("outcomes"))
-    return _with_next(steps, F.struct("approvalid", "outcomes"))
+    outcomes = _outcomes(approvals.filter(_is_matchable()))
+    in_block = Window.partitionBy(*VISIT_KEY, "block")
+    next_one = in_block.orderBy("rank").rangeBetween(1, 1)
+    ranked = outcomes.withColumn("rank", F.dense_rank().over(in_block.orderBy("approvalid")))
+    linked = ranked.select(
+        *OUTCOME, "block",
+        F.min("approvalid").over(next_one).alias("next_id"),
+        F.collect_set(_result()).over(next_one).alias("next_results"),
+    ).join(_block_links(approvals), [*VISIT_KEY, "block"], "left")
+    has_site = F.col("place.sitecounter").isNotNull()
+    ends_block = F.col("next_id").isNull()
+    return linked.select(
+        *OUTCOME,
+        F.when(has_site, F.coalesce("next_id", "head.approvalid")).alias("next_approval_id"),
+        F.when(has_site, F.when(ends_block, F.col("head.results")).otherwise(
+            F.col("next_results")
+        )).alias("next_results"),
+    )
 
 
-def approval_steps(approvals: DataFrame, chain: DataFrame, as_of: datetime.date) -> DataFrame:
-    """Distinct steps of every visit, once for each distinct outcome of the step that follows.
+def _block_links(approvals: DataFrame) -> DataFrame:
+    """First step of each block after a visit's first one, at the block before it.
 
-    Joining the outcomes of a step as one row keeps copies of approval rows from multiplying.
+    Only visits of more steps than a block holds have any, so this is usually empty.
     """
-    distinct_steps = approvals.groupBy(*SAME_STEP).agg(
-        F.max("mvperf").alias("mvperf"),
-        joined_names(F.collect_set(clean_text(F.col("mvrepname")))).alias("mvrepname"),
-        F.max("mvdat").alias("mvdat"),
-        F.max("mvdate2").alias("mvendat"),
-    )
-    following = chain.withColumnRenamed("approvalid", "step_id")
+    beyond = approvals.filter(_is_matchable() & (F.col("approvalid") >= BLOCK))
+    across_blocks = Window.partitionBy(*VISIT_KEY).orderBy("block")
     return (
-        _join_steps(distinct_steps, following)
-        .withColumn("next_approval_id", F.col("next_step.approvalid"))
-        .withColumn("following", F.explode_outer(next_results(as_of)))
+        _outcomes(beyond)
+        .groupBy(*VISIT_KEY, "block", "approvalid").agg(F.collect_set(_result()).alias("results"))
+        .groupBy(*VISIT_KEY, "block").agg(F.min(F.struct("approvalid", "results")).alias("head"))
         .select(
-            *distinct_steps.columns, "following.next_date", "following.next_stage_reject",
-            "next_approval_id", "place",
+            *VISIT_KEY, F.coalesce(F.lag("block").over(across_blocks), F.lit(0)).alias("block"),
+            "head",
         )
     )
 
 
-def next_results(as_of: datetime.date) -> Column:
-    """Distinct (next date, next is a rejection) of a step."""
-    results = F.transform("next_step.outcomes", lambda o: F.struct(
-        o["approvaldat"].alias("next_date"),
-        F.coalesce((o["approvalstage"] == REJECT).cast("int"), F.lit(0)).alias("next_stage_reject"),
-    ))
+def following_results(as_of: datetime.date) -> Column:
+    """Distinct (next date, next is a rejection) of a row of the chain, one when unfollowed."""
     unfollowed = F.struct(
-        next_date(F.lit(False), F.lit(None), as_of),
-        F.lit(0).alias("next_stage_reject"),
+        next_date(F.lit(False), F.lit(None), as_of), F.lit(0).alias("next_stage_reject")
     )
-    return F.when(F.col("next_step").isNull(), F.array(unfollowed)).otherwise(
-        F.array_distinct(results)
+    return F.when(F.col("next_approval_id").isNull(), F.array(unfollowed)).otherwise(
+        F.col("next_results")
+    )
+
+
+def approval_steps(approvals: DataFrame, chain: DataFrame, as_of: datetime.date) -> DataFrame:
+    """Distinct steps of every visit, once for each distinct result of the step that follows.
+
+    Every row meets one row of the chain, so copies do not multiply, and the grouping works
+    on the partitions of that join.
+    """
+    rows = approvals.withColumn("place", F.struct(*PLACE))
+    return (
+        _with_following(rows, chain)
+        .groupBy(*SAME_STEP, "outcome").agg(
+            F.max("mvperf").alias("mvperf"),
+            joined_names(F.collect_set(clean_text(F.col("mvrepname")))).alias("mvrepname"),
+            F.max("mvdat").alias("mvdat"),
+            F.max("mvdate2").alias("mvendat"),
+            F.first("next_approval_id").alias("next_approval_id"),
+            F.first("next_results").alias("next_results"),
+        )
+        .withColumn("result", F.explode(following_results(as_of)))
+        .drop("next_results")
+        .select("*", "result.next_date", "result.next_stage_reject")
+        .drop("result")
     )
 
 
@@ -175,8 +204,12 @@ def with_stage_columns(steps: DataFrame) -> DataFrame:
 
 
 def approval_facts(approvals: DataFrame, as_of: datetime.date) -> DataFrame:
-    steps = approval_steps(approvals, approval_chain(approvals), as_of)
-    return with_stage_columns(steps).drop("approvalstage", "place")
+    """Distinct steps with their next date and stage columns."""
+    facts = with_stage_columns(approval_steps(approvals, step_chain(approvals), as_of))
+    return facts.select(
+        *(F.col(f"place.{c}").alias(c) if c in PLACE else c for c in VISIT),
+        *(c for c in facts.columns if c not in {*VISIT_KEY, "approvalstage", "outcome"}),
+    )
 
 
 def _stage_days(stage: int) -> Column:
@@ -184,48 +217,30 @@ def _stage_days(stage: int) -> Column:
     return F.when(F.col("approvalstage") == stage, days)
 
 
-def _numbered(approvals: DataFrame) -> DataFrame:
-    """Rows another row can be matched to; a step without a site counter only has no next."""
-    return approvals.dropna(subset=["docid", "countryid", "visitid", "approvalid"])
+def _is_matchable() -> Column:
+    known = F.col("docid").isNotNull() & F.col("countryid").isNotNull()
+    return known & F.col("visitid").isNotNull() & F.col("approvalid").isNotNull()
 
 
-def _with_next(steps: DataFrame, step: Column) -> DataFrame:
-    """Each step of a visit with the next higher one.
+def _outcomes(approvals: DataFrame) -> DataFrame:
+    block = F.greatest(F.floor(F.col("approvalid") / BLOCK).cast("int"), F.lit(0))
+    rows = approvals.withColumns({"place": F.struct(*PLACE), "block": block})
+    return rows.select(*OUTCOME, "block").distinct()
 
-    A visit is cut into blocks of consecutive numbers, so the steps of a very long visit are
-    ordered by many tasks; the first step of each block then links the blocks.
-    """
-    blocked = steps.withColumn("step", step).withColumn(
-        "block", F.floor(F.col("approvalid") / BLOCK).cast("int")
-    )
-    in_block = Window.partitionBy(*VISIT, "block").orderBy("approvalid")
-    across_blocks = Window.partitionBy(*VISIT).orderBy("block")
-    heads = (
-        blocked.groupBy(*VISIT, "block").agg(F.min("step").alias("head"))
-        .withColumn("next_head", F.lead("head").over(across_blocks))
-        .filter(F.col("next_head").isNotNull())
-        .select(*(F.col(c).alias(f"h_{c}") for c in [*VISIT, "block"]), "next_head")
-    )
-    same_block = F.col("block") == F.col("h_block")
-    for key in VISIT:
-        same_block = same_block & F.col(key).eqNullSafe(F.col(f"h_{key}"))
-    next_step = F.coalesce(F.col("next_in_block"), F.col("next_head"))
-    return (
-        blocked.withColumn("next_in_block", F.lead("step").over(in_block))
-        .join(heads, same_block, "left")
-        .withColumn("next_step", F.when(F.col("sitecounter").isNotNull(), next_step))
-        .select(*steps.columns, "next_step")
+
+def _result() -> Column:
+    """What a step means to the one before it."""
+    return F.struct(
+        F.col("approvaldat").alias("next_date"),
+        F.coalesce((F.col("approvalstage") == REJECT).cast("int"), F.lit(0))
+        .alias("next_stage_reject"),
     )
 
 
-def _join_steps(rows: DataFrame, following: DataFrame) -> DataFrame:
-    """Left join on the step; the nullable parts are compared as a struct, null like null."""
-    right = following.select(
-        *(F.col(c).alias(f"f_{c}") for c in [STUDY, "docid", "countryid", "visitid"]),
-        F.struct("sitecounter", "mvseq").alias("f_place"), "step_id", "next_step",
+def _with_following(rows: DataFrame, chain: DataFrame) -> DataFrame:
+    """Left join of approval rows with the chain; stage and date match null like null."""
+    outcome = F.struct("approvalstage", "approvaldat").alias("outcome")
+    key = [*VISIT_KEY, "approvalid", "outcome"]
+    return rows.withColumn("outcome", outcome).join(
+        chain.select(*key[:-1], outcome, "next_approval_id", "next_results"), key, "left"
     )
-    left = rows.withColumn("place", F.struct("sitecounter", "mvseq"))
-    on = (F.col("approvalid") == F.col("step_id")) & (F.col("place") == F.col("f_place"))
-    for key in [STUDY, "docid", "countryid", "visitid"]:
-        on = on & (F.col(key) == F.col(f"f_{key}"))
-    return left.join(right, on, "left")

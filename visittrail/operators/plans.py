@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visittrail.fixed_values import COMPLETE, MONITOR_LINK, PLAN_ISSUES
-from visittrail.functions import is_weekend, joined_names, monitor_name, weekdays_between
+from visittrail.functions import is_weekend, monitor_name, weekdays_between
 from visittrail.schema import STUDY
 from visittrail.sources.studies import TYPED_PLANS
 
@@ -65,28 +65,25 @@ def plan_monitors(plans: DataFrame, links: DataFrame, site: DataFrame) -> DataFr
 def plan_monitors_agg(plans: DataFrame, links: DataFrame, site: DataFrame) -> DataFrame:
     """Distinct plans with the names of all their monitors as text.
 
-    Names are counted per site entry, then per plan key, so copies collapse before each
-    shuffle and the joins meet at most one row on their right side.
+    Names are counted per site entry and then per plan key, so copies of a site entry or of
+    a plan do not multiply; a plan meets at most one row of names.
     """
     site = complete_rows(site)
-    name = monitor_name(site["sitemonfirst"], site["sitemonlast"])
     site_key = [STUDY, "siteid", "countryid", "sitemonseq"]
+    name = monitor_name(F.col("sitemonfirst"), F.col("sitemonlast")).alias("name")
     staff = (
-        site.select(*site_key, name.alias("name")).dropna()
-        .groupBy(*site_key, "name").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*site_key).agg(F.collect_list(F.struct("name", "n")).alias("staff"))
+        site.select(*site_key, name).dropna()
+        .groupBy(*site_key, "name").agg(F.count(F.lit(1)).alias("staff"))
     )
-    copies = links.groupBy(*PLAN_KEY, *_link_target()).agg(F.count(F.lit(1)).alias("copies"))
     monitors = (
-        copies.join(staff, _same_site(copies, staff))
-        .select(*(copies[c] for c in PLAN_KEY), "copies", F.explode("staff").alias("person"))
-        .groupBy(*PLAN_KEY, F.col("person.name").alias("name"))
-        .agg(F.sum(F.col("copies") * F.col("person.n")).alias("n"))
+        links.join(staff, _same_site(links, staff))
+        .select(*(links[c] for c in PLAN_KEY), "name", "staff")
+        .groupBy(*PLAN_KEY, "name").agg(F.sum("staff").alias("n"))
         .groupBy(*PLAN_KEY).agg(F.collect_list(F.struct("name", "n")).alias("monitors"))
     )
-    alike = plans.groupBy(*plans.columns).agg(F.count(F.lit(1)).alias("copies"))
     return (
-        alike.join(monitors, PLAN_KEY, "left")
+        plans.join(monitors, PLAN_KEY, "left")
+        .groupBy(*plans.columns, "monitors").agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("site_monitors", _names_text("monitors", "copies"))
         .select(
             *PLAN_COLUMNS,

@@ -28,12 +28,15 @@ def plan_right_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
     )
 
 
-def plan_visit_rows(plans: DataFrame, visits: DataFrame) -> DataFrame:
+def plan_visit_rows(
+    plans: DataFrame, visits: DataFrame, plan_keys: DataFrame | None = None
+) -> DataFrame:
     """Plans with their visits, then visits without a plan; not yet free of repeated rows.
 
     A pair whose planned type is not the visit's type appears with both types. Both joins
     may be split on a key that holds many rows, which a full outer join may not, and both
-    read the same shuffled visits.
+    read the same shuffled visits. plan_keys are rows with the same keys as the plans,
+    where those are cheaper to get.
     """
     slotted = _slotted(visits)
     planned, actual = F.col("planmvtyp"), F.col("visitid")
@@ -45,7 +48,7 @@ def plan_visit_rows(plans: DataFrame, visits: DataFrame) -> DataFrame:
         .withColumn("planmvtyp", F.explode(types))
         .select(*plans.columns, *_visit_columns(visits))
     )
-    return paired.unionByName(_unplanned(plans, slotted, visits))
+    return paired.unionByName(_unplanned(plans, slotted, visits, plan_keys))
 
 
 def plan_visit_reconcile(plans: DataFrame, visits: DataFrame) -> DataFrame:
@@ -71,8 +74,10 @@ def _plan_slot() -> Column:
     return F.when(known & F.col("planmvdat").isNotNull(), parts)
 
 
-def _unplanned(plans: DataFrame, slotted: DataFrame, visits: DataFrame) -> DataFrame:
-    taken = plans.select(_plan_slot().alias("plan_slot")).distinct()
+def _unplanned(
+    plans: DataFrame, slotted: DataFrame, visits: DataFrame, plan_keys: DataFrame | None = None
+) -> DataFrame:
+    taken = (plans if plan_keys is None else plan_keys).select(_plan_slot().alias("plan_slot")).distinct()
     alone = slotted.join(taken, F.col("slot") == F.col("plan_slot"), "left_anti")
     known = {STUDY: "slot." + STUDY, "docid": "slot.docid", "countryid": "slot.countryid",
              "planmvtyp": "visitid"}

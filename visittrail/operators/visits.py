@@ -17,7 +17,13 @@ from visittrail.functions import (
     joined_names,
     latest_stage,
 )
-from visittrail.operators.approvals import VISIT, next_results, with_stage_columns
+from visittrail.operators.approvals import (
+    PLACE,
+    VISIT,
+    VISIT_KEY,
+    following_results,
+    with_stage_columns,
+)
 from visittrail.schema import STUDY
 
 SUMMARY_COLUMNS = [
@@ -39,9 +45,8 @@ def visit_summary(steps: DataFrame) -> DataFrame:
     by that count and lists repeat an entry that often.
     """
     counted = steps.groupBy(
-        STUDY, "docid", "countryid", "visitid", "place", "approvalid", "approvalstage",
-        "approvaldat", "approvalname", "mvrepname", "next_date", "next_stage_reject",
-        "next_approval_id",
+        *VISIT_KEY, "approvalid", "outcome", "approvalstage", "approvaldat", "approvalname",
+        "mvrepname", "next_date", "next_stage_reject", "next_approval_id",
     ).agg(
         F.count(F.lit(1)).alias("n"),
         *(F.max(c).alias(c) for c in ("mvperf", "mvdat", "mvendat")),
@@ -65,9 +70,7 @@ def visit_summary(steps: DataFrame) -> DataFrame:
         entries = F.collect_list(F.when(text.isNotNull(), entry))
         return joined_entries(entries, separator).alias(column)
 
-    summary = with_stage_columns(counted).groupBy(
-        STUDY, "docid", "countryid", "visitid", "place"
-    ).agg(
+    summary = with_stage_columns(counted).groupBy(*VISIT_KEY).agg(
         F.max("mvperf").alias("mvperf"),
         names("mvrepname"),
         F.max("mvdat").alias("mvdat"),
@@ -91,9 +94,12 @@ def visit_summary(steps: DataFrame) -> DataFrame:
     )
     return summary.withColumnsRenamed({
         "first_submitter_name": "submitter_name", "all_submitter_name": "stagesubmittorname",
-    }).withColumns({c: F.col(f"place.{c}") for c in ("sitecounter", "mvseq")}).select(
-        *SUMMARY_COLUMNS
-    )
+    })
+
+
+def visit_rows(summary: DataFrame) -> DataFrame:
+    """The summary with the visit's identity in plain columns."""
+    return summary.withColumns({c: F.col(f"place.{c}") for c in PLACE}).select(*SUMMARY_COLUMNS)
 
 
 def submissions(facts: DataFrame) -> DataFrame:
@@ -150,64 +156,50 @@ def _join_rows(visits: DataFrame, rows: DataFrame, step: str, added: dict) -> Da
 
 
 def distinct_stage_dates(
-    visits: DataFrame, chain: DataFrame, as_of: datetime.date
+    summary: DataFrame, chain: DataFrame, as_of: datetime.date
 ) -> DataFrame:
-    """The distinct rows of visit_stage_dates.
+    """The distinct rows of visit_stage_dates, from visit_summary and its step chain.
 
-    The dates and durations of a step are gathered to one row before the joins, so many
-    copies of a step, or many site counters sharing one, do not multiply with each other.
+    The dates and durations recorded under a step's number by any site counter are
+    gathered to one row, met by the visit's own steps, and the visit then keeps those of
+    its first and last ones. Copies of a step therefore do not multiply with each other,
+    and only narrow rows are shuffled.
     """
-    durations = (
-        chain.withColumn("outcome", F.explode("outcomes"))
-        .withColumns({c: F.col(f"outcome.{c}") for c in ("approvaldat", "approvalstage")})
-        .filter(F.col("approvalstage").isin(SUBMIT, REJECT))
-        .withColumn("next_date", F.explode(
-            F.array_distinct(F.transform(next_results(as_of), lambda r: r["next_date"]))
-        ))
-        .withColumn("days", elapsed_days(
-            F.col("approvaldat"), F.col("next_date"), count_start=True
-        ))
+    number = [STUDY, "docid", "countryid", "visitid", "seq", "approvalid", "approvalstage"]
+    own = chain.filter(F.col("approvalstage").isin(SUBMIT, REJECT)).withColumn(
+        "seq", F.struct("place.mvseq")
     )
+    date, next_date = F.col("approvaldat"), F.col("result.next_date")
+    days = elapsed_days(date, next_date, count_start=True)
     dated = (
-        durations.groupBy(
-            *(F.col(c).alias(f"r_{c}") for c in STEP_KEY),
-            F.struct("mvseq").alias("r_seq"), F.col("approvalid").alias("r_approvalid"),
-            F.col("approvalstage").alias("r_stage"),
-        )
-        .agg(F.collect_set(F.struct(F.col("approvaldat").alias("date"), "days")).alias("dated"))
+        own.withColumn("result", F.explode(following_results(as_of)))
+        .groupBy(*number)
+        .agg(F.collect_set(F.struct(date.alias("date"), days.alias("days"))).alias("dated"))
     )
-    attached = visits.withColumn("seq", F.struct("mvseq"))
-    for step, stage, result in (
-        ("first_submission_approvalid", SUBMIT, "first"),
-        ("latest_submission_approvalid", SUBMIT, "last"),
-        ("latest_rejection_approvalid", REJECT, "reject"),
-    ):
-        attached = _join_dated(attached, dated, step, stage, result)
-    return attached.withColumn("first", F.explode_outer(
-        F.array_distinct(F.col("first.date"))
-    )).withColumn("last", F.explode_outer("last")).withColumn(
-        "reject", F.explode_outer("reject")
-    ).select(
-        *visits.columns,
-        F.col("first").alias("first_submission"),
-        F.col("last.date").alias("latest_submission"),
-        F.col("last.days").alias("last_submit_len"),
-        F.col("reject.date").alias("latest_rejection"),
-        F.col("reject.days").alias("last_reject_len"),
-    )
-
-
-def _join_dated(
-    visits: DataFrame, dated: DataFrame, step: str, stage: int, result: str
-) -> DataFrame:
-    on = (
-        (F.col("seq") == F.col("r_seq")) & (F.col(step) == F.col("r_approvalid"))
-        & (F.col("r_stage") == stage)
+    submitted = F.when(F.col("approvalstage") == SUBMIT, F.col("approvalid"))
+    rejected = F.when(F.col("approvalstage") == REJECT, F.col("approvalid"))
+    key_dates = (
+        own.select(*number, "place").distinct().join(dated, number)
+        .groupBy(*VISIT_KEY).agg(
+            F.min_by("dated", submitted).alias("first"),
+            F.max_by("dated", submitted).alias("last"),
+            F.max_by("dated", rejected).alias("reject"),
+        )
     )
-    for key in STEP_KEY:
-        on = on & (F.col(key) == F.col(f"r_{key}"))
-    return visits.join(dated, on, "left").select(
-        *visits.columns, F.col("dated").alias(result)
+    return (
+        summary.join(key_dates, VISIT_KEY, "left")
+        .withColumn("first", F.explode_outer(F.array_distinct(F.col("first.date"))))
+        .withColumn("last", F.explode_outer("last"))
+        .withColumn("reject", F.explode_outer("reject"))
+        .withColumns({
+            **{c: F.col(f"place.{c}") for c in PLACE},
+            "first_submission": F.col("first"),
+            "latest_submission": F.col("last.date"),
+            "last_submit_len": F.col("last.days"),
+            "latest_rejection": F.col("reject.date"),
+            "last_reject_len": F.col("reject.days"),
+        })
+        .drop("first", "last", "reject", "place")
     )
 
 

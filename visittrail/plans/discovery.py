@@ -34,10 +34,12 @@ def catalog_prefixes(tables: DataFrame) -> DataFrame:
 
 def layout_counts(tables: DataFrame, columns: DataFrame) -> DataFrame:
     """Expected columns present per prefix and kind, from one pass over the listing."""
-    known = study_tables(tables).select("prefix", "kind", F.lit(None).alias("column_name"))
-    listed = study_tables(columns).select("prefix", "kind", "column_name")
-    # A table counts only where the catalog lists it or another table of its prefix.
-    of_prefix = listed.join(catalog_prefixes(tables), "prefix", "left_semi")
+    known = study_tables(tables).select(
+        "prefix", "kind", F.lit(None).alias("column_name"), F.lit(True).alias("is_table")
+    )
+    listed = study_tables(columns).select(
+        "prefix", "kind", "column_name", F.lit(False).alias("is_table")
+    )
     kind, column = F.col("kind"), F.col("column_name")
     counts = []
     for name, expected in EXPECTED_COLUMNS.items():
@@ -47,7 +49,10 @@ def layout_counts(tables: DataFrame, columns: DataFrame) -> DataFrame:
             F.count(F.when((kind == name) & (column == marked), 1)).alias(f"{name}_{marked}")
             for marked in MARKED[name]
         ]
-    return known.unionByName(of_prefix).groupBy("prefix").agg(*counts)
+    # Columns of a prefix none of whose tables is listed do not make it a study.
+    counts.append(F.bool_or("is_table").alias("has_table"))
+    counted = known.unionByName(listed).groupBy("prefix").agg(*counts)
+    return counted.filter("has_table").drop("has_table")
 
 
 def layout_classify(counts: DataFrame) -> DataFrame:

@@ -26,9 +26,9 @@ from visittrail.functions import (
     protocol_alias,
     visit_length,
 )
-from visittrail.operators.approvals import approval_chain, approval_steps, complete_approvals
+from visittrail.operators.approvals import approval_steps, complete_approvals, step_chain
 from visittrail.operators.issues import data_issues, process_issues
-from visittrail.operators.plans import plan_flags, plan_monitors_agg, plan_site_links
+from visittrail.operators.plans import complete_rows, plan_flags, plan_monitors_agg, plan_site_links
 from visittrail.operators.reconcile import plan_visit_rows
 from visittrail.operators.sites import report_sites
 from visittrail.operators.visits import distinct_stage_dates, visit_flags, visit_summary
@@ -50,7 +50,10 @@ def studies_report(
     tables: StudyTables, as_of: datetime.date, aliases: DataFrame | None = None
 ) -> DataFrame:
     """The report of several studies in one job, the study prefix in front."""
-    rows = report_rows(plans_with_monitors(tables), distinct_visits(tables, as_of), as_of)
+    reconciled = plan_visit_rows(
+        plans_with_monitors(tables), distinct_visits(tables, as_of), complete_rows(tables.plan)
+    )
+    rows = shown_rows(with_day_counts(reconciled), as_of)
     sites = report_sites(tables.site, tables.sites, tables.study)
     joined = rows.join(sites, [STUDY, "docid"], "left")
     named = (
@@ -75,16 +78,11 @@ def plans_with_monitors(tables: StudyTables) -> DataFrame:
 def distinct_visits(tables: StudyTables, as_of: datetime.date) -> DataFrame:
     """Validated visits, each distinct row once."""
     approvals = complete_approvals(tables.mv)
-    chain = approval_chain(approvals)
+    chain = step_chain(approvals)
     summary = visit_summary(approval_steps(approvals, chain, as_of))
     return visit_flags(distinct_stage_dates(summary, chain, as_of)).distinct()
 
 
-def report_rows(plans: DataFrame, visits: DataFrame, as_of: datetime.date) -> DataFrame:
-    """Reconciled rows with the report's columns except those of the site."""
-    return shown_rows(with_day_counts(plan_visit_rows(plans, visits)), as_of)
-
-
 def with_day_counts(rows: DataFrame) -> DataFrame:
     """Days between the milestones of a visit."""
     start, end = F.col("mvdat"), F.col("mvendat")
