@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visittrail.fixed_values import NOT_PERFORMED, REJECT, STAGE_ISSUES, SUBMIT
+from visittrail.fixed_values import APPROVE, NOT_PERFORMED, REJECT, STAGE_ISSUES, SUBMIT
 from visittrail.functions import (
     clean_text,
     elapsed_days,
@@ -41,8 +41,9 @@ STEP_KEY = [STUDY, "docid", "countryid", "visitid"]
 def visit_summary(steps: DataFrame) -> DataFrame:
     """One row per visit from the rows of approval_steps.
 
-    Steps that differ only in who entered them are counted first; sums are then weighted
-    by that count and lists repeat an entry that often.
+    Steps that differ only in who entered them are counted first. A visit's texts are then
+    made from one list with an entry per distinct step, which is no more than the texts
+    themselves have to name.
     """
     counted = steps.groupBy(
         *VISIT_KEY, "approvalid", "outcome", "approvalstage", "approvaldat", "approvalname",
@@ -61,40 +62,48 @@ def visit_summary(steps: DataFrame) -> DataFrame:
     def times(condition: Column) -> Column:
         return F.sum(F.when(condition, n).otherwise(0))
 
-    def names(column: str) -> Column:
-        return joined_names(F.collect_set(clean_text(F.col(column)))).alias(column)
-
-    def listed(column: str, separator: str) -> Column:
-        text = F.col(column)
-        entry = F.struct("approvalid", text.alias("text"), "n")
-        entries = F.collect_list(F.when(text.isNotNull(), entry))
-        return joined_entries(entries, separator).alias(column)
-
     summary = with_stage_columns(counted).groupBy(*VISIT_KEY).agg(
         F.max("mvperf").alias("mvperf"),
-        names("mvrepname"),
         F.max("mvdat").alias("mvdat"),
-        listed("stage", ","),
-        names("first_submitter_name"),
-        names("all_submitter_name"),
         times(F.col("rejection_counter").isNotNull()).alias("rejection_round"),
         times(F.col("submission_counter").isNotNull()).alias("submission_round"),
         F.min("submission_approvalid").alias("first_submission_approvalid"),
         F.max("submission_approvalid").alias("latest_submission_approvalid"),
         F.max("rejection_approvalid").alias("latest_rejection_approvalid"),
         F.max("approval_date").alias("approval_date"),
-        names("approvalname"),
-        names("reviewername"),
         F.max(F.coalesce("mvendat", "mvdat")).alias("mvendat"),
         (F.sum(submitted * n) - times(rejected == 1)).alias("total_submit_len"),
         (F.sum(rejected * n) - times(resubmitted_at_once)).alias("total_cra_time"),
-        listed("submission_next", ";"),
-        listed("reject_submit", ";"),
         *(times(F.col(flag).isNotNull()).alias(flag) for flag in STAGE_ISSUES),
+        F.collect_list(F.struct(
+            "approvalid", "approvalstage", "stage", "submission_next", "reject_submit", "n",
+            clean_text(F.col("mvrepname")).alias("reporter"),
+            clean_text(F.col("approvalname")).alias("name"),
+        )).alias("steps"),
     )
-    return summary.withColumnsRenamed({
-        "first_submitter_name": "submitter_name", "all_submitter_name": "stagesubmittorname",
-    })
+    return summary.withColumns({
+        "mvrepname": _names(lambda s: s["reporter"]),
+        "submitter_name": _names(lambda s: F.when(s["approvalid"] == 1, s["name"])),
+        "stagesubmittorname": _names(lambda s: F.when(s["approvalstage"] == SUBMIT, s["name"])),
+        "approvalname": _names(lambda s: s["name"]),
+        "reviewername": _names(
+            lambda s: F.when(s["approvalstage"].isin(REJECT, APPROVE), s["name"])
+        ),
+        "stage": _listed("stage", ","),
+        "submission_next": _listed("submission_next", ";"),
+        "reject_submit": _listed("reject_submit", ";"),
+    }).drop("steps")
+
+
+def _names(name) -> Column:
+    return joined_names(F.transform("steps", name))
+
+
+def _listed(column: str, separator: str) -> Column:
+    entries = F.transform("steps", lambda s: F.struct(
+        s["approvalid"].alias("approvalid"), s[column].alias("text"), s["n"].alias("n")
+    ))
+    return joined_entries(entries, separator)
 
 
 def visit_rows(summary: DataFrame) -> DataFrame:
