@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.small_study import AS_OF, USUAL, chain, study
 from visittrail.plans.discovery import catalog_prefixes, layout_classify, layout_counts, report_ready
-from visittrail.plans.report import visit_report
+from visittrail.plans.report import studies_report, visit_report
 from visittrail.schema import TABLE_COLUMNS
 from visittrail.sources.catalog import catalog_columns, catalog_tables
 from visittrail.sources.studies import read_study, read_study_files, write_report
@@ -84,5 +84,5 @@ def test_studies_in_files(spark, tmp_path):
             )
     stored = read_study_files(spark, f"{tmp_path}/in")
     assert {r["study_prefix"] for r in stored.plan.collect()} == {"a", "b"}
-    write_report(visit_report(stored, AS_OF), f"{tmp_path}/out")
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+    write_report(studies_report(stored, AS_OF), f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
