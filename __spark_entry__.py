@@ -26,6 +26,12 @@ from visittrail.sources.catalog import plain_names
 from visittrail.sources.studies import all_studies
 from visittrail.sources.warehouse import AS_OF
 
+try:
+    import corpus_pipeline
+    from visittrail.llm import registry
+except ImportError:
+    registry = None
+
 VISIT = visits.VISIT[1:]
 
 
@@ -544,8 +550,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def on_tables(build: Callable[[Study], DataFrame]):
         return lambda spark, path: build(Study(spark, path))
 
-    return {name: on_tables(build) for name, build in QUERIES.items()}
+    found = {name: on_tables(build) for name, build in QUERIES.items()}
+    if registry:
+        found |= registry.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: CHECKS[name] for name in QUERIES if name in CHECKS}
+    found = {name: CHECKS[name] for name in QUERIES if name in CHECKS}
+    if registry:
+        found |= registry.SQL
+    return found

@@ -25,7 +25,7 @@ def database():
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) >= set(entry.QUERIES)
 
 
 @pytest.mark.parametrize("name", list(entry.QUERIES))
