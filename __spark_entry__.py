@@ -21,9 +21,8 @@ from visittrail.operators import approvals, plans, reconcile, sites, visits
 from visittrail.plans import discovery, report
 from visittrail.schema import STUDY, TABLE_COLUMNS
 from visittrail.session import configure
-from visittrail.sources import warehouse
+from visittrail.sources import studies, warehouse
 from visittrail.sources.catalog import plain_names
-from visittrail.sources.studies import all_studies
 from visittrail.sources.warehouse import AS_OF
 
 try:
@@ -305,9 +304,9 @@ def next_approval_date(s):
 
 @query
 def open_stage_age(s):
-    steps = approvals.next_approval_date(s.approvals, AS_OF)
-    still_open = F.col("next_approval_id").isNull() & F.col("next_date").isNotNull()
-    return steps.filter(still_open).select(
+    last = approvals.next_approval(s.approvals).filter(F.col("next_approval_id").isNull())
+    still_open = last.withColumn("next_date", approvals.next_date(F.lit(False), F.lit(None), AS_OF))
+    return still_open.filter(F.col("next_date").isNotNull()).select(
         *VISIT, "approvalid", "approvaldat", "next_date",
         F.datediff("next_date", "approvaldat").alias("open_days"),
     )
@@ -424,7 +423,8 @@ def plan_right_visit(s):
 
 @query
 def completed_missing_visit(s):
-    lost = reconcile.plan_left_visit(s.plan_agg, s.distinct_visits).filter("planmvstat = 9")
+    days = visits.performed_visits(visits.visit_days(s.approvals))
+    lost = reconcile.completed_without_visit(plans.distinct_plans(s.plans), days)
     return lost.select("docid", "countryid", "planspid", "planmvdat", "planmvstat")
 
 
@@ -532,13 +532,10 @@ def visit_report(s):
 
 
 @query
-def several_studies(s):
+def all_studies(s):
     north = warehouse.warehouse_study(s.spark, s.path, "north")
     south = warehouse.warehouse_study(s.spark, s.path, "south")
-    return report.studies_report(all_studies([north, south]), AS_OF)
-
-
-QUERIES["all_studies"] = QUERIES.pop("several_studies")
+    return report.studies_report(studies.all_studies([north, south]), AS_OF)
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.small_study import AS_OF, chain, study
 from visittrail.operators import approvals as A
+from visittrail.operators import sites as S
 from visittrail.plans.report import visit_report
 
 
@@ -54,3 +55,21 @@ def test_many_site_counters_share_one_step(spark):
     # Site counters are not shown: what remains are 3 durations by 9 pairs of dates.
     assert len(rows) == 27
     assert len({(r["first_submission"], r["latest_submission"]) for r in rows}) == 9
+
+
+def test_negative_numbers_use_several_blocks(spark):
+    numbers = list(range(-5000, 0, 7))
+    rows = A.complete_approvals(long_visit(spark, numbers).mv)
+    found = {r["approvalid"]: r["next_approval_id"] for r in A.next_approval(rows).collect()}
+    assert found == dict(zip(numbers, [*numbers[1:], None]))
+    assert A._outcomes(rows).select("block").distinct().count() == 5
+
+
+def test_codes_of_a_country_do_not_multiply_its_sites(spark):
+    """1,000 sites and 1,000 codes of one country: one label row per site."""
+    site = [dict(docid=str(i), siteid=f"s{i}", countryid="001-S") for i in range(1000)]
+    sites = [dict(label="Land", sitecode=f"001{i}") for i in range(1000)]
+    rows = [dict(docid=str(i), studyid="P") for i in range(1000) for _ in range(2)]
+    tables = study(spark, mv=[], site=site, sites=sites, study=rows)
+    joined = S._with_protocol(tables.site, tables.sites, tables.study)
+    assert joined.count() == 1000

@@ -91,7 +91,7 @@ def step_chain(approvals: DataFrame) -> DataFrame:
         *OUTCOME, "block",
         F.min("approvalid").over(next_one).alias("next_id"),
         F.collect_set(_result()).over(next_one).alias("next_results"),
-    ).join(_block_links(approvals), [*VISIT_KEY, "block"], "left")
+    ).join(_block_links(ranked), [*VISIT_KEY, "block"], "left")
     has_site = F.col("place.sitecounter").isNotNull()
     ends_block = F.col("next_id").isNull()
     return linked.select(
@@ -103,21 +103,19 @@ def step_chain(approvals: DataFrame) -> DataFrame:
     )
 
 
-def _block_links(approvals: DataFrame) -> DataFrame:
+def _block_links(ranked: DataFrame) -> DataFrame:
     """First step of each block after a visit's first one, at the block before it.
 
-    Only visits of more steps than a block holds have any, so this is usually empty.
+    Only visits whose numbers lie in several blocks have any, so this is usually empty.
     """
-    beyond = approvals.filter(_is_matchable() & (F.col("approvalid") >= BLOCK))
     across_blocks = Window.partitionBy(*VISIT_KEY).orderBy("block")
     return (
-        _outcomes(beyond)
-        .groupBy(*VISIT_KEY, "block", "approvalid").agg(F.collect_set(_result()).alias("results"))
-        .groupBy(*VISIT_KEY, "block").agg(F.min(F.struct("approvalid", "results")).alias("head"))
-        .select(
-            *VISIT_KEY, F.coalesce(F.lag("block").over(across_blocks), F.lit(0)).alias("block"),
-            "head",
-        )
+        ranked.filter(F.col("rank") == 1)
+        .groupBy(*VISIT_KEY, "block").agg(F.struct(
+            F.min("approvalid").alias("approvalid"), F.collect_set(_result()).alias("results")
+        ).alias("head"))
+        .select(*VISIT_KEY, F.lag("block").over(across_blocks).alias("block"), "head")
+        .filter(F.col("block").isNotNull())
     )
 
 
@@ -223,7 +221,7 @@ def _is_matchable() -> Column:
 
 
 def _outcomes(approvals: DataFrame) -> DataFrame:
-    block = F.greatest(F.floor(F.col("approvalid") / BLOCK).cast("int"), F.lit(0))
+    block = F.floor(F.col("approvalid") / BLOCK).cast("int")
     rows = approvals.withColumns({"place": F.struct(*PLACE), "block": block})
     return rows.select(*OUTCOME, "block").distinct()
 

@@ -38,6 +38,11 @@ def plan_flags(plan: DataFrame) -> DataFrame:
     )
 
 
+def distinct_plans(flagged: DataFrame) -> DataFrame:
+    """Each different plan once, without its findings, which follow from it."""
+    return flagged.select(*PLAN_COLUMNS).distinct()
+
+
 def plan_site_links(link: DataFrame) -> DataFrame:
     """Links from a plan to the site entry of its monitor."""
     for column, word in MONITOR_LINK.items():

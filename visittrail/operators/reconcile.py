@@ -51,14 +51,18 @@ def plan_visit_rows(
     return paired.unionByName(_unplanned(plans, slotted, visits, plan_keys))
 
 
-def plan_visit_reconcile(plans: DataFrame, visits: DataFrame) -> DataFrame:
-    return plan_visit_rows(plans, visits).distinct()
+def completed_without_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
+    """Completed plans that no visit meets, with the status that says so."""
+    days = _slotted(visits.select(*VISIT_KEY).distinct())
+    completed = plans.filter(F.col("planmvstat") == COMPLETED).withColumn("plan_slot", _plan_slot())
+    lost = completed.join(days, F.col("plan_slot") == F.col("slot"), "left_anti")
+    return lost.withColumn("planmvstat", F.lit(COMPLETED_WITHOUT_VISIT)).drop("plan_slot")
 
 
 def _slotted(visits: DataFrame) -> DataFrame:
     """The visit's key as one struct, so that both joins shuffle the same columns."""
     others = [c for c in visits.columns if c not in VISIT_KEY]
-    return visits.select(F.struct(*VISIT_KEY).alias("slot"), *others)
+    return visits.select(F.struct(*VISIT_KEY, F.lit(0).alias("apart")).alias("slot"), *others)
 
 
 def _paired(plans: DataFrame, slotted: DataFrame, how: str = "left") -> DataFrame:
@@ -67,17 +71,27 @@ def _paired(plans: DataFrame, slotted: DataFrame, how: str = "left") -> DataFram
     ).withColumn("mvdat", F.col("slot.mvdat"))
 
 
-def _plan_slot() -> Column:
-    """NULL unless every part is known: such a plan meets no visit."""
+def _is_placed() -> Column:
     known = F.col("docid").isNotNull() & F.col("countryid").isNotNull()
-    parts = F.struct(STUDY, "docid", "countryid", F.col("planmvdat").alias("mvdat"))
-    return F.when(known & F.col("planmvdat").isNotNull(), parts)
+    return known & F.col("planmvdat").isNotNull()
+
+
+def _plan_slot() -> Column:
+    """A plan that lacks a part meets no visit: it is set apart by a number that no visit has.
+
+    The number comes from the plan, so that such plans spread over all partitions of the join.
+    """
+    number = F.pmod(F.xxhash64("docid", "countryid", "planspid", "planmvid"), F.lit(1 << 20)) + 1
+    apart = F.when(_is_placed(), 0).otherwise(number.cast("int"))
+    return F.struct(
+        STUDY, "docid", "countryid", F.col("planmvdat").alias("mvdat"), apart.alias("apart"))
 
 
 def _unplanned(
     plans: DataFrame, slotted: DataFrame, visits: DataFrame, plan_keys: DataFrame | None = None
 ) -> DataFrame:
-    taken = (plans if plan_keys is None else plan_keys).select(_plan_slot().alias("plan_slot")).distinct()
+    placed = (plans if plan_keys is None else plan_keys).filter(_is_placed())
+    taken = placed.select(_plan_slot().alias("plan_slot")).distinct()
     alone = slotted.join(taken, F.col("slot") == F.col("plan_slot"), "left_anti")
     known = {STUDY: "slot." + STUDY, "docid": "slot.docid", "countryid": "slot.countryid",
              "planmvtyp": "visitid"}

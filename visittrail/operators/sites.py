@@ -14,10 +14,17 @@ CODE_LENGTH = 3
 
 def site_country(site: DataFrame, sites: DataFrame) -> DataFrame:
     """Complete site rows with the label of each site code that shares their first letters."""
-    labels = sites.select(
+    return _labelled(site, _labels(sites))
+
+
+def _labels(sites: DataFrame) -> DataFrame:
+    return sites.select(
         F.col(STUDY).alias("label_study"), F.left("sitecode", F.lit(CODE_LENGTH)).alias("code"),
         F.col("label").alias("country"),
     )
+
+
+def _labelled(site: DataFrame, labels: DataFrame) -> DataFrame:
     site = complete_rows(site)
     same = (F.col(STUDY) == F.col("label_study")) & (
         F.left("countryid", F.lit(CODE_LENGTH)) == F.col("code")
@@ -41,6 +48,7 @@ def report_sites(site: DataFrame, sites: DataFrame, study: DataFrame) -> DataFra
 
 
 def _with_protocol(site: DataFrame, sites: DataFrame, study: DataFrame) -> DataFrame:
+    """Each label of a code and each protocol of a document once, so that neither multiplies rows."""
     known = site.filter(F.col("siteid").isNotNull())
-    protocols = study.select(STUDY, "docid", F.col("studyid").alias("protocolnumber"))
-    return site_country(known, sites).join(protocols, [STUDY, "docid"])
+    protocols = study.select(STUDY, "docid", F.col("studyid").alias("protocolnumber")).distinct()
+    return _labelled(known, _labels(sites).distinct()).join(protocols, [STUDY, "docid"])

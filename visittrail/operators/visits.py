@@ -212,6 +212,12 @@ def distinct_stage_dates(
     )
 
 
+def visit_days(approvals: DataFrame) -> DataFrame:
+    """Each visit's state and start date alone."""
+    return approvals.groupBy(*VISIT).agg(
+        F.max("mvperf").alias("mvperf"), F.max("mvdat").alias("mvdat"))
+
+
 def performed_visits(visits: DataFrame) -> DataFrame:
     """Visits known to have taken place: an unknown state counts as not performed."""
     return visits.filter(F.col("mvperf") != NOT_PERFORMED)

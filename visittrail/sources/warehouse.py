@@ -130,12 +130,12 @@ def link_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def alias_rows(spark: SparkSession, path: str) -> DataFrame:
-    """(protocol, alias) of the customers' market segments."""
+    """(protocol, alias) of the customers' market segments, one of them under another code."""
     segment = F.col("c_mktsegment")
+    listed = F.when(segment == "MACHINERY", "MACHINES").otherwise(segment)
     return (
         spark.read.parquet(f"{path}/customer.parquet")
-        .filter(segment != "MACHINERY")
-        .select(segment.alias("protocol"), F.concat(segment, F.lit(" project")).alias("alias"))
+        .select(listed.alias("protocol"), F.concat(segment, F.lit(" project")).alias("alias"))
         .distinct()
     )
 
