@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 #: Arrow batches end at this size, so that long texts cannot fill a Python worker.
 SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 from visittrail.llm.common import prepare, utf8
 
 #: Words whose ids a worker remembers, up to this length; then it starts anew.
-CACHED_WORDS, CACHED_BYTES = 1_000_000, 48
+CACHED_WORDS, CACHED_BYTES = 500_000, 48
 #: Text bytes whose words are looked up together.
-LOOKUP_BYTES = 2 << 20
+LOOKUP_BYTES = 512 << 10
 WORD_END = "</w>"
 #: How such a tokenizer splits a text (a fixed value of the tokenizer file).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
