@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from visittrail.llm.common import prepare, utf8
 
 #: Words whose ids a worker remembers, up to this length; then it starts anew.
-CACHED_WORDS, CACHED_BYTES = 500_000, 48
+CACHED_WORDS, CACHED_BYTES = 200_000, 48
 #: Text bytes whose words are looked up together.
 LOOKUP_BYTES = 512 << 10
 WORD_END = "</w>"
