@@ -8,19 +8,23 @@ from pyspark.sql import functions as F
 
 from visittrail.llm import (
     decontaminate,
+    divergence,
     linededup,
     packing,
     permutation,
     pii,
     simhash,
     token_output,
+    tokencount,
     toxicity,
     urlfilter,
     warc,
+    whitening,
 )
 from visittrail.llm.urls import url_key
 
 TOKENIZER = "word_bpe_49k.json"
+COUNTED_TOKENIZER = "byte_bpe_50k.json"
 SEQUENCE = 4096
 RULES = (
     ("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -93,9 +97,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(COUNTED_TOKENIZER), limit=1024)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"), components=16).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_permutation_index, op3_personal_data, op4_decontamination, op5_simhash,
     op6_token_output, op7_line_dedup, op8_url_filter, op9_best_fit_packing, op10_toxicity,
+    op11_source_divergence, op12_token_counts, op13_embedding_whitening,
 )}
 
 _WORDS = (
@@ -189,4 +208,56 @@ SQL = {
         )
         SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict
         FROM h LEFT JOIN (SELECT * FROM fits WHERE n = 1) USING (page_id)""",
+    "op11_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang,
+                   coalesce(source, '') AS source,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), t AS (
+            SELECT r, lang, source, unnest(words) AS term FROM d
+        ), kept AS (
+            SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+        ), v AS (
+            SELECT lang, count(*) AS v FROM kept GROUP BY lang
+        ), g AS (
+            SELECT DISTINCT lang, source FROM d
+        ), counted AS (
+            SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term)
+            GROUP BY lang, source, term
+        ), filled AS (
+            SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n
+            FROM g JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)
+        ), p AS (
+            SELECT lang, source, term, n, 1 + CAST(1000000000 AS HUGEINT) * (n + 5)
+                   // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p
+            FROM filled JOIN v USING (lang)
+        ), whole AS (
+            SELECT lang, term, sum(n) AS n FROM filled GROUP BY lang, term
+        ), q AS (
+            SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 5)
+                   // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+            FROM whole JOIN v USING (lang)
+        ), sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY a.lang, a.source, b.source
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                   CAST(coalesce(value, 0) AS BIGINT) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, CAST(p - q AS BIGINT)
+            FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (
+                PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+            FROM found
+        )
+        SELECT lang, source, part, item, value, rank FROM ranked
+        WHERE part = 'pair' OR rank <= 50""",
 }
