@@ -18,11 +18,12 @@ from visittrail.fixed_values import (
     VISIT_TYPE_NAMES,
 )
 from visittrail.operators import approvals, plans, reconcile, sites, visits
-from visittrail.plans import discovery, report
+from visittrail.functions.sql import register_functions
+from visittrail.plans import database, discovery, report
 from visittrail.schema import STUDY, TABLE_COLUMNS
-from visittrail.session import configure
+from visittrail.session import configure, new_folder
 from visittrail.sources import studies, warehouse
-from visittrail.sources.catalog import plain_names
+from visittrail.sources.catalog import catalog_listing, listed_columns, plain_names
 from visittrail.sources.warehouse import AS_OF
 
 try:
@@ -122,6 +123,18 @@ class Study:
         return discovery.layout_counts(self.catalog_tables, self.catalog_columns)
 
 
+    @cached_property
+    def database(self):
+        """Name of a database of stored studies with tables of every layout."""
+        folder = new_folder(self.spark, "database")
+        name = folder.rsplit("/", 1)[1].replace("-", "_")
+        return warehouse.stored_database(self.spark, self.path, folder, name)
+
+    @cached_property
+    def reported(self):
+        return database.database_report(self.spark, self.database, AS_OF)
+
+
 QUERIES: dict[str, Callable[[Study], DataFrame]] = {}
 
 
@@ -538,6 +551,40 @@ def all_studies(s):
     return report.studies_report(studies.all_studies([north, south]), AS_OF)
 
 
+@query
+def study_readiness(s):
+    columns = warehouse.listing_rows(s.spark, s.path)
+    return database.study_readiness(columns.select("table_name").distinct(), columns)
+
+
+@query
+def database_columns(s):
+    return plain_names(listed_columns(catalog_listing(s.spark, s.database)))
+
+
+@query
+def database_layouts(s):
+    return s.reported.layouts
+
+
+@query
+def database_report(s):
+    return s.reported.report
+
+
+@query
+def sql_functions(s):
+    register_functions(s.spark)
+    return s.spark.sql("""
+        SELECT docid, planspid, clean_text(' ' || planspid || '  ' || countryid) AS label,
+            weekdays_between(planmvdat, planmvendat) AS weekdays,
+            week_start(planmvdat) AS week_start, elapsed_days(planmvdat, planmvendat, 1) AS days,
+            visit_length(planmvdat, planmvendat) AS visit_length,
+            period_label(planmvdat) AS period,
+            CASE WHEN is_weekend(planmvdat) THEN 1 END AS is_weekend
+        FROM {plans}""", plans=s.tables.plan)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The visit report over the smallest tables."""
     return queries()["visit_report"](spark, "/root/testdata/sf0.001")

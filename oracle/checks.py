@@ -3,10 +3,13 @@
 from oracle.tables import (
     APPROVAL_BASE,
     PLAN_BASE,
+    SLICE,
+    STORED,
     TODAY,
     clean,
     decoded,
     day_number,
+    elapsed,
     on_time,
     sunday,
     weekdays,
@@ -21,6 +24,7 @@ from visittrail.fixed_values import (
     VISIT_TYPE_NAMES,
 )
 from visittrail.schema import TABLE_COLUMNS
+from visittrail.sources.warehouse import STORED_STUDIES
 
 VISIT = "docid, sitecounter, countryid, visitid, mvseq"
 MILESTONES = (
@@ -190,4 +194,50 @@ STATEMENTS = {
         SELECT 'south' AS study_prefix, {', '.join(REPORT_COLUMNS)} FROM report""",
 }
 
-CHECKS = {name: with_tables(statement) for name, statement in STATEMENTS.items()}
+STATEMENTS |= {
+    "study_readiness": "SELECT * FROM readiness",
+    "sql_functions": f"""
+        SELECT docid, planspid, {clean("' ' || CAST(planspid AS VARCHAR) || '  ' || countryid")}
+                AS label, {weekdays('planmvdat', 'planmvendat')} AS weekdays,
+            {sunday('planmvdat')} AS week_start, {elapsed('planmvdat', 'planmvendat', 1)} AS days,
+            CAST(CASE WHEN planmvendat <= planmvdat THEN 1
+                WHEN planmvendat > planmvdat THEN {weekdays('planmvdat', 'planmvendat')} END
+                AS INTEGER) AS visit_length,
+            CAST(year(planmvdat) AS VARCHAR) || '.' || CAST(month(planmvdat) AS VARCHAR) AS period,
+            {weekend('planmvdat')} AS is_weekend
+        FROM plan_rows""",
+}
+
+_OF_STUDY = f"(SELECT DISTINCT {SLICE} AS slice FROM study_rows)"
+_STORED_COLUMNS = ", ".join(
+    f"({i}, '{prefix}{kind}', '{name}')"
+    for i, (prefix, missing) in enumerate(STORED_STUDIES)
+    for kind, names in TABLE_COLUMNS.items() for name in names
+    if name not in missing.get(kind, ())
+)
+_STORED_LAYOUTS = {
+    "repdata_s0": (1, None), "repdatas1": (2, None), "repdata_s2": (3, None),
+    "repdatas3": (4, None), "repdata_s4": (0, "plan has 9 of 10 columns"),
+    "repdata_s5": (1, "no link table"), "repdata_s6": (1, None),
+}
+_LAYOUT_ROWS = ", ".join(
+    f"({i}, '{prefix}', {_STORED_LAYOUTS[prefix][0]}, "
+    + ("NULL" if _STORED_LAYOUTS[prefix][1] is None else f"'{_STORED_LAYOUTS[prefix][1]}'") + ")"
+    for i, (prefix, _) in enumerate(STORED_STUDIES)
+)
+STORED_STATEMENTS = {
+    "database_columns": f"""
+        SELECT table_name, column_name FROM {_OF_STUDY}
+        JOIN (VALUES {_STORED_COLUMNS}) AS e(slice, table_name, column_name) USING (slice)""",
+    "database_layouts": f"""
+        SELECT prefix, query_number, reason IS NULL AS report_ready, reason FROM {_OF_STUDY}
+        JOIN (VALUES {_LAYOUT_ROWS}) AS e(slice, prefix, query_number, reason) USING (slice)""",
+    "database_report": f"""
+        SELECT prefix AS study_prefix, {', '.join(REPORT_COLUMNS)} FROM report
+        JOIN (VALUES {_LAYOUT_ROWS}) AS e(slice, prefix, query_number, reason) USING (slice)
+        WHERE reason IS NULL""",
+}
+
+CHECKS = {name: with_tables(statement) for name, statement in STATEMENTS.items()} | {
+    name: with_tables(statement, STORED) for name, statement in STORED_STATEMENTS.items()
+}

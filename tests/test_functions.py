@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from visittrail import functions as V
 from visittrail.fixed_values import STAGE_LETTERS
+from visittrail.functions.sql import register_functions
 
 
 def value(spark, column):
@@ -96,3 +97,22 @@ def test_joined_names_skip_nulls_and_repeats(spark):
     names = F.array(F.lit("b"), F.lit(None), F.lit("a"), F.lit("b"))
     assert value(spark, V.joined_names(names)) == "a,b"
     assert value(spark, V.joined_names(F.array(F.lit(None).cast("string")))) is None
+
+
+def test_functions_in_sql_text(spark):
+    register_functions(spark)
+    rows = [("a\t b   c\n", "x", datetime.date(2024, 6, d), datetime.date(2024, 6, e)) for d in range(1, 16) for e in (3, 9, 15)]
+    rows += [(None, "x", None, datetime.date(2024, 6, 3)), ("a", None, datetime.date(2024, 6, 3), None), ("", "", None, None)]
+    table = spark.createDataFrame(rows, "x string, y string, a date, b date")
+    found = spark.sql("""
+        SELECT clean_text(x), monitor_name(x, y), is_weekend(a), week_start(a),
+            weekdays_between(a, b), elapsed_days(a, b, 1), elapsed_days(a, b, 0),
+            visit_length(a, b), period_label(a) FROM {t}""", t=table)
+    x, y, a, b = (F.col(c) for c in "xyab")
+    expected = table.select(
+        V.clean_text(x), V.monitor_name(x, y), V.is_weekend(a), V.week_start(a),
+        V.weekdays_between(a, b), V.elapsed_days(a, b, True), V.elapsed_days(a, b, False),
+        V.visit_length(a, b), V.period_label(a))
+    assert list(map(tuple, found.collect())) == list(map(tuple, expected.collect()))
+    assert [t for _, t in found.dtypes] == [t for _, t in expected.dtypes]
+    assert "Python" not in found._jdf.queryExecution().toString()

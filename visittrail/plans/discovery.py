@@ -65,13 +65,12 @@ def layout_classify(counts: DataFrame) -> DataFrame:
     return counts.select("prefix", _or_none(number).alias("query_number"))
 
 
-def report_ready(tables: DataFrame, columns: DataFrame) -> DataFrame:
-    """Whether a prefix also has what the report needs but the layout number leaves out.
+def report_needs(tables: DataFrame, columns: DataFrame) -> DataFrame:
+    """(prefix, has_link, has_number): what the report needs but the layout number leaves out.
 
-    That is the monitor number of a site and a link table.
+    That is a link table and the monitor number of a site.
     """
     name = F.col("table_name")
-    prefixes = catalog_prefixes(tables)
     listing = plain_names(columns).select(
         F.when(name.like(f"{TABLE_HEAD}%link"), F.left(name, F.length(name) - 4))
         .when(name.like(f"{TABLE_HEAD}%site") & (F.col("column_name") == "sitemonseq"),
@@ -80,8 +79,14 @@ def report_ready(tables: DataFrame, columns: DataFrame) -> DataFrame:
     ).groupBy("prefix").agg(
         F.bool_or("is_link").alias("has_link"), F.bool_or(~F.col("is_link")).alias("has_number")
     )
-    ready = F.coalesce(F.col("has_link") & F.col("has_number"), F.lit(False))
-    return prefixes.join(listing, "prefix", "left").select("prefix", ready.alias("report_ready"))
+    return catalog_prefixes(tables).join(listing, "prefix", "left").select(
+        "prefix", *(F.coalesce(c, F.lit(False)).alias(c) for c in ("has_link", "has_number")))
+
+
+def report_ready(tables: DataFrame, columns: DataFrame) -> DataFrame:
+    """Whether a prefix also has what the report needs but the layout number leaves out."""
+    ready = F.col("has_link") & F.col("has_number")
+    return report_needs(tables, columns).select("prefix", ready.alias("report_ready"))
 
 
 def _or_none(number: Column) -> Column:

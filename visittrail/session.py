@@ -1,4 +1,7 @@
-"""Session settings the jobs rely on."""
+"""Session settings the jobs rely on, and the folder they share."""
+
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -16,3 +19,14 @@ def configure(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     return spark
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in spark.checkpoint.dir; a local session without one gets a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="visittrail-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared}/{name}-{uuid.uuid4().hex}"

@@ -11,7 +11,8 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visittrail.fixed_values import EXPECTED_COLUMNS
+from visittrail.fixed_values import EXPECTED_COLUMNS, TABLE_HEAD
+from visittrail.schema import TABLE_COLUMNS
 from visittrail.sources.studies import StudyTables, normalized
 
 AS_OF = datetime.date(1999, 6, 30)
@@ -169,6 +170,62 @@ def table_rows(spark: SparkSession, path: str) -> DataFrame:
     return column_rows(spark, path).select("table_name").distinct()
 
 
+def listing_rows(spark: SparkSession, path: str) -> DataFrame:
+    """column_rows and what the report needs besides: link tables and monitor numbers, most of them."""
+    key = F.col("p_partkey")
+    prefix = F.concat(F.lit("repdata_p"), key.cast("string"), F.lit("_"))
+    parts = spark.read.parquet(f"{path}/part.parquet")
+    links = parts.filter(key % 5 != 0).select(
+        F.concat(prefix, F.lit("link")).alias("table_name"),
+        F.explode(F.array(*map(F.lit, TABLE_COLUMNS["link"]))).alias("column_name"))
+    numbers = parts.filter(key % 7 != 0).select(
+        F.concat(prefix, F.lit("site")).alias("table_name"), F.lit("sitemonseq").alias("column_name"))
+    return column_rows(spark, path).unionByName(links).unionByName(numbers)
+
+
+#: The studies of the stored database: documents are dealt to them by site, so that no row of one
+#: study meets another's. Each has its prefix and what its tables lack.
+STORED_STUDIES = [
+    ("repdata_s0", {}),
+    ("repdatas1", {"plan": ["planmvtyp"]}),
+    ("repdata_s2", {"mv": ["dayid", "mvdate2"]}),
+    ("repdatas3", {"plan": ["planmvtyp"], "mv": ["dayid", "mvdate2"]}),
+    ("repdata_s4", {"plan": ["planmvid"]}),
+    ("repdata_s5", {"link": TABLE_COLUMNS["link"]}),
+    ("repdata_s6", {}),
+]
+
+
+def study_of(document: str) -> Column:
+    """Which of the stored studies a document belongs to, by number."""
+    return (F.floor(F.col(document) / 4) % len(STORED_STUDIES)).cast("int")
+
+
+def stored_database(spark: SparkSession, path: str, folder: str, database: str) -> str:
+    """Writes the stored studies under a folder and puts their tables in a new database.
+
+    Each kind is written once, in a folder per study; a table is one such folder.
+    """
+    rows = {
+        "plan": plan_rows, "mv": approval_rows, "site": site_rows, "sites": site_label_rows,
+        "study": study_rows, "link": link_rows,
+    }
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{folder}/database'")
+    for kind, build in rows.items():
+        made = normalized(kind, build(spark, path), PREFIX).select(*TABLE_COLUMNS[kind])
+        every = F.explode(F.array(*map(F.lit, range(len(STORED_STUDIES)))))
+        made.withColumn("of", study_of("docid") if "docid" in made.columns else every).write.parquet(
+            f"{folder}/{kind}", partitionBy="of")
+        for number, (prefix, missing) in enumerate(STORED_STUDIES):
+            fields = ", ".join(
+                f"`{name}` {dtype}" for name, dtype in made.dtypes
+                if name not in missing.get(kind, ()))
+            if fields:
+                spark.sql(f"CREATE TABLE `{database}`.`{prefix}{kind}` ({fields}) USING parquet "
+                          f"LOCATION '{folder}/{kind}/of={number}'")
+    return database
+
+
 def _orders_of_customers(spark: SparkSession, path: str) -> DataFrame:
     orders = spark.read.parquet(f"{path}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
