@@ -77,10 +77,10 @@ def test_colliding_digests_are_told_apart(spark, rows):
     assert found(frame(spark, rows), least_docs=9, top=7, digest_bits=5) == brute(rows, 9, 7)
 
 
-def test_small_tasks_and_blocks(spark, rows, monkeypatch):
-    for name, value in (("HELD_TERMS", 20), ("CELLS", 15), ("SOURCES", 2)):
-        monkeypatch.setattr(divergence, name, value)
-    assert found(frame(spark, rows), least_docs=9, top=3) == brute(rows, 9, 3)
+@pytest.mark.parametrize("bits", [5, 64])
+def test_small_tasks_and_blocks(spark, rows, bits):
+    few = dict(held_terms=20, salt_bytes=1000, cells=15, sources=2, digest_bits=bits)
+    assert found(frame(spark, rows), least_docs=9, top=3, **few) == brute(rows, 9, 3)
 
 
 def test_many_sources(spark):
