@@ -18,6 +18,7 @@ from visittrail.fixed_values import (
     VISIT_TYPE_NAMES,
 )
 from visittrail.operators import approvals, plans, reconcile, sites, visits
+from visittrail.operators.counted import COUNT, expanded, once, summed
 from visittrail.functions.sql import register_functions
 from visittrail.plans import database, discovery, report
 from visittrail.schema import STUDY, TABLE_COLUMNS
@@ -82,11 +83,11 @@ class Study:
 
     @cached_property
     def staged(self):
-        return visits.visit_stage_dates(self.summary, self.submitted, self.rejected)
+        return visits.counted_stage_dates(once(self.summary), self.submitted, self.rejected)
 
     @cached_property
     def checked(self):
-        return visits.visit_flags(self.staged)
+        return visits.counted_visit_flags(self.staged)
 
     @cached_property
     def distinct_visits(self):
@@ -416,22 +417,22 @@ def visit_last_rejection(s):
 
 @query
 def visit_stage_dates(s):
-    return s.staged.drop(STUDY)
+    return expanded(s.staged).drop(STUDY)
 
 
 @query
 def visit_flags(s):
-    return s.checked.drop(STUDY)
+    return expanded(s.checked).drop(STUDY)
 
 
 @query
 def plan_left_visit(s):
-    return reconcile.plan_left_visit(s.plan_agg, s.checked).drop(STUDY)
+    return expanded(reconcile.counted_left_visit(s.plan_agg, s.checked)).drop(STUDY)
 
 
 @query
 def plan_right_visit(s):
-    return reconcile.plan_right_visit(s.plan_agg, s.checked).drop(STUDY)
+    return expanded(reconcile.counted_right_visit(s.plan_agg, s.checked)).drop(STUDY)
 
 
 @query
@@ -551,6 +552,63 @@ def all_studies(s):
     return report.studies_report(studies.all_studies([north, south]), AS_OF)
 
 
+@query
+def plan_links_counted(s):
+    links = plans.counted_plan_links(s.plans, s.links)
+    return summed(links.select(
+        "docid", "planspid", "countryid", "siteid_t", "countryid_t", "sitemonseq_t", COUNT))
+
+
+@query
+def plan_monitors_counted(s):
+    return plans.counted_plan_monitors(s.plans, s.links, s.tables.site).drop(STUDY)
+
+
+@query
+def next_approval_date_counted(s):
+    return approvals.counted_next_approval_date(s.approvals, AS_OF).drop(STUDY)
+
+
+@query
+def visit_first_submission_counted(s):
+    found = visits.counted_first_submission(once(s.summary), s.submitted)
+    return found.select(*VISIT, "first_submission_approvalid", "first_submission", COUNT)
+
+
+@query
+def visit_last_submission_counted(s):
+    found = visits.counted_last_submission(once(s.summary), s.submitted)
+    return found.select(
+        *VISIT, "latest_submission_approvalid", "latest_submission", "last_submit_len", COUNT)
+
+
+@query
+def visit_last_rejection_counted(s):
+    found = visits.counted_last_rejection(once(s.summary), s.rejected)
+    return found.select(
+        *VISIT, "latest_rejection_approvalid", "latest_rejection", "last_reject_len", COUNT)
+
+
+@query
+def visit_stage_dates_counted(s):
+    return s.staged.drop(STUDY)
+
+
+@query
+def visit_flags_counted(s):
+    return s.checked.drop(STUDY)
+
+
+@query
+def plan_left_visit_counted(s):
+    return reconcile.counted_left_visit(s.plan_agg, s.checked).drop(STUDY)
+
+
+@query
+def plan_right_visit_counted(s):
+    return reconcile.counted_right_visit(s.plan_agg, s.checked).drop(STUDY)
+
+
 @query
 def study_readiness(s):
     columns = warehouse.listing_rows(s.spark, s.path)

@@ -208,6 +208,16 @@ STATEMENTS |= {
         FROM plan_rows""",
 }
 
+# Row-by-row results once more with equal rows counted.
+STATEMENTS |= {
+    f"{name}_counted": f"SELECT *, count(*) AS n FROM ({STATEMENTS[name]}) GROUP BY ALL"
+    for name in (
+        "plan_links", "plan_monitors", "next_approval_date", "visit_first_submission",
+        "visit_last_submission", "visit_last_rejection", "visit_stage_dates", "visit_flags",
+        "plan_left_visit", "plan_right_visit",
+    )
+}
+
 _OF_STUDY = f"(SELECT DISTINCT {SLICE} AS slice FROM study_rows)"
 _STORED_COLUMNS = ", ".join(
     f"({i}, '{prefix}{kind}', '{name}')"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from visittrail.fixed_values import APPROVE, REJECT, STAGE_LETTERS, SUBMIT
 from visittrail.functions import clean_text, decode, elapsed_days, joined_names
+from visittrail.operators.counted import COUNT, counted, expanded, joined, once, summed
 from visittrail.operators.plans import complete_rows
 from visittrail.schema import STUDY, TABLE_COLUMNS
 
@@ -44,31 +45,31 @@ def next_approval(approvals: DataFrame) -> DataFrame:
     )
 
 
-def next_approval_date(approvals: DataFrame, as_of: datetime.date) -> DataFrame:
-    """Approval rows beside each row of the next step: its date and whether it rejects."""
-    numbered = next_approval(approvals)
-    later = approvals.select(
+def counted_next_approval_date(approvals: DataFrame, as_of: datetime.date) -> DataFrame:
+    """Distinct approval rows with each date of the next step and whether it rejects, counted."""
+    numbered = once(next_approval(approvals))
+    later = counted(approvals.select(
         *(F.col(c).alias(f"r_{c}") for c in [*VISIT, "approvalid"]),
         F.col("approvaldat").alias("r_date"), F.col("approvalstage").alias("r_stage"),
-    )
+    ))
     same_visit = F.lit(True)
     for key in VISIT[:-1]:
         same_visit = same_visit & (F.col(key) == F.col(f"r_{key}"))
-    return (
-        numbered.join(
-            later,
-            same_visit
-            & F.col("mvseq").eqNullSafe(F.col("r_mvseq"))
-            & (F.col("next_approval_id") == F.col("r_approvalid")),
-            "left",
-        )
-        .select(
-            *APPROVAL_COLUMNS,
-            next_date(F.col("r_approvalid").isNotNull(), F.col("r_date"), as_of),
-            "next_approval_id",
-            F.when(F.col("r_stage") == REJECT, 1).otherwise(0).alias("next_stage_reject"),
-        )
+    same_step = (
+        same_visit & F.col("mvseq").eqNullSafe(F.col("r_mvseq"))
+        & (F.col("next_approval_id") == F.col("r_approvalid"))
     )
+    return summed(joined(numbered, later, same_step).select(
+        *APPROVAL_COLUMNS,
+        next_date(F.col("r_approvalid").isNotNull(), F.col("r_date"), as_of),
+        "next_approval_id",
+        F.when(F.col("r_stage") == REJECT, 1).otherwise(0).alias("next_stage_reject"), COUNT,
+    ))
+
+
+def next_approval_date(approvals: DataFrame, as_of: datetime.date) -> DataFrame:
+    """Approval rows beside each row of the next step: its date and whether it rejects."""
+    return expanded(counted_next_approval_date(approvals, as_of))
 
 
 def next_date(has_next: Column, date: Column, as_of: datetime.date) -> Column:

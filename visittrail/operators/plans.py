@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from visittrail.fixed_values import COMPLETE, MONITOR_LINK, PLAN_ISSUES
 from visittrail.functions import is_weekend, monitor_name, weekdays_between
+from visittrail.operators.counted import COUNT, counted, expanded, joined, summed
 from visittrail.schema import STUDY
 from visittrail.sources.studies import TYPED_PLANS
 
@@ -52,19 +53,36 @@ def plan_site_links(link: DataFrame) -> DataFrame:
     )
 
 
+def counted_plan_links(plans: DataFrame, links: DataFrame) -> DataFrame:
+    """Distinct plans with each of their distinct link targets, and how many rows these stand for."""
+    targets = counted(links.select(*PLAN_KEY, *_link_target()))
+    return joined(counted(plans), targets, PLAN_KEY).select(
+        *plans.columns, *_link_target(), COUNT)
+
+
 def plan_links(plans: DataFrame, links: DataFrame) -> DataFrame:
     """Every plan with each of its links."""
-    return plans.join(links, PLAN_KEY, "left").select(*plans.columns, *_link_target())
+    return expanded(counted_plan_links(plans, links))
+
+
+def counted_plan_monitors(plans: DataFrame, links: DataFrame, site: DataFrame) -> DataFrame:
+    """Distinct plans with each name of a linked site entry, and how many rows these stand for."""
+    linked = counted_plan_links(plans, links)
+    name = monitor_name(F.col("sitemonfirst"), F.col("sitemonlast")).alias("site_monitor")
+    staff = counted(complete_rows(site).select(
+        F.col(STUDY).alias("site_study"), "siteid", F.col("countryid").alias("site_country"),
+        "sitemonseq", name))
+    same = (
+        (F.col(STUDY) == F.col("site_study")) & (F.col("siteid_t") == F.col("siteid"))
+        & (F.col("countryid_t") == F.col("site_country"))
+        & (F.col("sitemonseq_t") == F.col("sitemonseq"))
+    )
+    return summed(joined(linked, staff, same).select(*plans.columns, "site_monitor", COUNT))
 
 
 def plan_monitors(plans: DataFrame, links: DataFrame, site: DataFrame) -> DataFrame:
     """One row per plan, link and monitor of the linked site entry."""
-    linked = plan_links(plans, links)
-    site = complete_rows(site)
-    return linked.join(site.alias("s"), _same_site(linked, site), "left").select(
-        *(linked[c] for c in plans.columns),
-        monitor_name(site["sitemonfirst"], site["sitemonlast"]).alias("site_monitor"),
-    )
+    return expanded(counted_plan_monitors(plans, links, site))
 
 
 def plan_monitors_agg(plans: DataFrame, links: DataFrame, site: DataFrame) -> DataFrame:

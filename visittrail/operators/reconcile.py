@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visittrail.fixed_values import COMPLETED, COMPLETED_WITHOUT_VISIT
+from visittrail.operators.counted import COUNT, summed
 from visittrail.schema import STUDY
 
 VISIT_KEY = [STUDY, "docid", "countryid", "mvdat"]
@@ -28,6 +29,16 @@ def plan_right_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
     )
 
 
+def counted_left_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
+    """Distinct plans with each counted visit of the same slot; an unmet plan counts once."""
+    return plan_left_visit(plans, visits).withColumn(COUNT, F.coalesce(COUNT, F.lit(1)))
+
+
+def counted_right_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
+    """Counted visits with each plan: plans that differ in their type alone become one row."""
+    return summed(plan_right_visit(plans, visits))
+
+
 def plan_visit_rows(
     plans: DataFrame, visits: DataFrame, plan_keys: DataFrame | None = None
 ) -> DataFrame:

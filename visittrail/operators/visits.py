@@ -24,6 +24,7 @@ from visittrail.operators.approvals import (
     following_results,
     with_stage_columns,
 )
+from visittrail.operators.counted import COUNT, counted, expanded, joined, once, summed
 from visittrail.schema import STUDY
 
 SUMMARY_COLUMNS = [
@@ -128,40 +129,61 @@ def _stage_rows(facts: DataFrame, letter: str, word: str) -> DataFrame:
 
 def visit_first_submission(visits: DataFrame, submitted: DataFrame) -> DataFrame:
     """Visits beside every row of their first submission."""
+    return expanded(counted_first_submission(once(visits), submitted))
+
+
+def visit_last_submission(visits: DataFrame, submitted: DataFrame) -> DataFrame:
+    return expanded(counted_last_submission(once(visits), submitted))
+
+
+def visit_last_rejection(visits: DataFrame, rejected: DataFrame) -> DataFrame:
+    return expanded(counted_last_rejection(once(visits), rejected))
+
+
+def visit_stage_dates(
+    visits: DataFrame, submitted: DataFrame, rejected: DataFrame
+) -> DataFrame:
+    """All three, row by row: repeated step rows repeat the visit."""
+    return expanded(counted_stage_dates(once(visits), submitted, rejected))
+
+
+def counted_first_submission(visits: DataFrame, submitted: DataFrame) -> DataFrame:
+    """Counted visits beside each distinct date of their first submission."""
     return _join_rows(visits, submitted, "first_submission_approvalid", {
         "approvaldat": "first_submission",
     })
 
 
-def visit_last_submission(visits: DataFrame, submitted: DataFrame) -> DataFrame:
+def counted_last_submission(visits: DataFrame, submitted: DataFrame) -> DataFrame:
     return _join_rows(visits, submitted, "latest_submission_approvalid", {
         "approvaldat": "latest_submission", "submission_duration": "last_submit_len",
     })
 
 
-def visit_last_rejection(visits: DataFrame, rejected: DataFrame) -> DataFrame:
+def counted_last_rejection(visits: DataFrame, rejected: DataFrame) -> DataFrame:
     return _join_rows(visits, rejected, "latest_rejection_approvalid", {
         "approvaldat": "latest_rejection", "rejection_duration": "last_reject_len",
     })
 
 
-def visit_stage_dates(
+def counted_stage_dates(
     visits: DataFrame, submitted: DataFrame, rejected: DataFrame
 ) -> DataFrame:
-    """All three, row by row: repeated step rows repeat the visit."""
-    first = visit_first_submission(visits, submitted)
-    return visit_last_rejection(visit_last_submission(first, submitted), rejected)
+    """All three: counted visits with the distinct dates of their key steps."""
+    first = counted_first_submission(visits, submitted)
+    return counted_last_rejection(counted_last_submission(first, submitted), rejected)
 
 
 def _join_rows(visits: DataFrame, rows: DataFrame, step: str, added: dict) -> DataFrame:
-    right = rows.select(
+    right = counted(rows.select(
         *(F.col(c).alias(f"r_{c}") for c in [*STEP_KEY, "mvseq", "approvalid"]),
         *(F.col(old).alias(new) for old, new in added.items()),
-    )
+    ))
     on = F.col("mvseq").eqNullSafe(F.col("r_mvseq")) & (F.col(step) == F.col("r_approvalid"))
     for key in STEP_KEY:
         on = on & (F.col(key) == F.col(f"r_{key}"))
-    return visits.join(right, on, "left").select(*visits.columns, *added.values())
+    own = [c for c in visits.columns if c != COUNT]
+    return joined(visits, right, on).select(*own, *added.values(), COUNT)
 
 
 def distinct_stage_dates(
@@ -247,14 +269,21 @@ def visit_flags(visits: DataFrame) -> DataFrame:
         "data_issue_mv_end_date_is_weekend": is_weekend(end),
         "data_issue_wrong_stage_order": is_bad_stage_order(F.col("stage")),
     }
+    number = [COUNT] if COUNT in visits.columns else []
     return performed_visits(visits).select(
         *VISIT_COLUMNS[:-1],
         latest_stage(F.col("stage")).alias("current_stage"),
         *STAGE_ISSUES,
         *(F.when(found, 1).alias(flag) for flag, found in findings.items()),
+        *number,
     )
 
 
+def counted_visit_flags(visits: DataFrame) -> DataFrame:
+    """The same for counted visits: each distinct validated row once."""
+    return summed(visit_flags(visits))
+
+
 VISIT_COLUMNS = [
     STUDY, "docid", "countryid", "visitid", "mvdat", "mvrepname", "mvseq", "mvendat",
     "submitter_name", "stagesubmittorname", "submission_round", "first_submission",
