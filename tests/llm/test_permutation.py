@@ -61,6 +61,33 @@ def test_recall(spark, rows):
     assert copies and all([i for i, _ in found[q]] == [i for i, _ in expected[q]] for q in copies)
 
 
+@pytest.mark.parametrize("n", [8_000, 32_000])
+def test_recall_for_unequal_norms(spark, n):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(n, 64))
+    vectors *= np.exp(0.5 * rng.normal(size=(n, 1))) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = list(enumerate(vectors.tolist()))
+    few = n // 100
+    found = answers(permutation.nearest_neighbours(
+        frame(spark, rows), lambda vec_id: vec_id % few == 0))
+    expected = brute(rows, every=few)
+    assert found.keys() == expected.keys() and recall(found, expected) >= 0.9
+
+
+def test_each_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.integers(-9, 10, 3 + i % 3).tolist()) for i in range(300)]
+    rows += [(400, [5, 5, 5, 5, 5]), (400, [1, 2, 3]), (401, [1, 2, 3])]
+    found = permutation.nearest_neighbours(frame(spark, rows), query).collect()
+    for n in (3, 4, 5):
+        some = [(i, v) for i, v in rows if len(v) == n and any(v)]
+        expected = brute(some)
+        for q in expected.keys() - {400}:
+            own = sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == q)
+            assert [i for _, i in own] == [i for i, _ in expected[q]]
+    assert sum(r["query_id"] == 400 for r in found) == 40
+
+
 def test_few_rows_are_ranked_exactly(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.integers(-2, 3, 8).tolist()) for i in range(90)]

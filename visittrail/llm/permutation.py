@@ -1,6 +1,8 @@
 """Nearest neighbours by a permutation index.
 
-A vector is represented by its nearest pivots in order of nearness. Each shard of the vectors keeps
+A vector is represented by its nearest pivots in order of nearness. So that the nearest are those of
+the largest inner product, vectors first get one more coordinate that makes all of them equally long,
+and queries get a zero there. Each shard of the vectors keeps
 an inverted file: for each pivot the vectors that have it among their nearest, with its place. For
 a query, the lists of its own nearest pivots are added up to the footrule distance of the two
 orders (a pivot that only one of them has counts as the place after the last), the nearest by
@@ -9,7 +11,7 @@ footrule are ranked anew by inner product, and the shards' answers are merged.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,17 @@ def valid(vectors: DataFrame, vector: str, vec_id: str) -> DataFrame:
                        & F.exists("v", lambda x: x != 0))
 
 
+def lengthened(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """The vectors with the coordinate that gives each the length of the longest one."""
+    short = longest ** 2 - np.einsum("ij,ij->i", vectors, vectors)
+    return np.column_stack([vectors, np.sqrt(np.maximum(short, 0))])
+
+
+def as_queries(vectors: np.ndarray) -> np.ndarray:
+    """The vectors with a zero in that coordinate: their products with lengthened ones stay."""
+    return np.column_stack([vectors, np.zeros(len(vectors))])
+
+
 def orders(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
     """The nearest pivots of each vector (by direction), nearest first, ties to the earlier pivot."""
     size = np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -88,18 +101,24 @@ def nearest_neighbours(vectors: DataFrame, is_query, top: int = 20, vector: str
 
     is_query: a column of vec_id that tells queries. A query's own row is left out, ties go to
     smaller ids. Rows whose id is null or whose vector is null, empty, zero or has null or
-    non-finite parts take no part; vectors of another length than most are left out as well.
-    Equal vectors are searched for once and as one: of them only the smallest top + 1 ids can be
-    among the answers, and each query of a group has the group's answers without itself. A
-    repeated id counts once for each different vector.
+    non-finite parts take no part. Vectors of different lengths have no inner product: each length
+    is searched by itself. Equal vectors are searched for once and as one: of them only the
+    smallest top + 1 ids can be among the answers, and each query of a group has the group's
+    answers without itself. A repeated id counts once for each different vector.
     """
     spark = prepare(vectors.sparkSession)
-    rows = stored(valid(vectors, vector, vec_id), "vectors")
-    common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if common is None:
+    rows = stored(valid(vectors, vector, vec_id), "vectors").withColumn("q", is_query(F.col("id")))
+    lengths = rows.select(F.size("v").alias("n")).distinct().orderBy("n").collect()
+    if not lengths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.filter(F.size("v") == common["n"]).withColumn("q", is_query(F.col("id")))
+    return reduce(DataFrame.unionByName, (
+        _nearest_of_one_length(rows.filter(F.size("v") == r["n"]), top, pivots, nearest,
+                               shard_rows, share, least) for r in lengths))
+
 
+def _nearest_of_one_length(rows: DataFrame, top: int, pivots: int, nearest: int, shard_rows: int,
+                           share: float, least: int) -> DataFrame:
+    spark = rows.sparkSession
     place = Window.partitionBy("v").orderBy("id")
     first = rows.select("v", "id").distinct().withColumn("at", F.row_number().over(place))
     groups = first.filter(F.col("at") <= top + 1).groupBy("v").agg(
@@ -109,12 +128,15 @@ def nearest_neighbours(vectors: DataFrame, is_query, top: int = 20, vector: str
         F.col("ids")[0].alias("group"), "v", "ids", F.coalesce("q", F.lit(False)).alias("q"))
     groups = stored(groups, "vector-groups")
 
+    size = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
+    longest = groups.agg(F.sqrt(F.max(size)).alias("n")).first()["n"]
     chosen = groups.orderBy(F.xxhash64("group"), "group").limit(pivots).select("v").collect()
-    pivot = np.array([r["v"] for r in chosen])
+    pivot = lengthened(np.array([r["v"] for r in chosen]), longest)
     pivot = pivot / np.linalg.norm(pivot, axis=1, keepdims=True)
     nearest = min(nearest, max(len(pivot) // 2, 1))
-    sent = spark.sparkContext.broadcast(pivot)
-    with_order = groups.withColumn("o", _order_of(sent, nearest)("v"))
+    sent = spark.sparkContext.broadcast((pivot, longest))
+    with_order = groups.withColumn("o", _order_of(sent, nearest, False)("v")).withColumn(
+        "asked", F.when(F.col("q"), _order_of(sent, nearest, True)(F.when(F.col("q"), F.col("v")))))
     with_order = stored(with_order, "permutations")
 
     shards = with_order.count() // shard_rows + 1
@@ -126,7 +148,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, top: int = 20, vector: str
     asks = with_order.filter("q").select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1).cast("int"))).alias("shard"),
         F.pmod(F.xxhash64("group", F.lit(1)), F.lit(slices)).cast("int").alias("slice"),
-        "group", "v", "o", F.lit(True).alias("is_query"))
+        "group", "v", F.col("asked").alias("o"), F.lit(True).alias("is_query"))
     n_pivots = len(pivot)
 
     def search(table: pa.Table) -> pa.Table:
@@ -158,14 +180,21 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), -1)
 
 
-def _order_of(sent, nearest: int):
+def _order_of(sent, nearest: int, is_query: bool):
     @F.arrow_udf("array<int>")
     def order(values: pa.Array) -> pa.Array:
-        if not len(values):
-            return pa.array([], pa.list_(pa.int32()))
-        found = orders(_matrix(values), sent.value, nearest).astype(np.int32)
-        return pa.ListArray.from_arrays(
+        there = values.is_valid()
+        some = values.filter(there)
+        if not len(some):
+            return pa.nulls(len(values), pa.list_(pa.int32()))
+        pivots, longest = sent.value
+        matrix = _matrix(some)
+        matrix = as_queries(matrix) if is_query else lengthened(matrix, longest)
+        found = orders(matrix, pivots, nearest).astype(np.int32)
+        lists = pa.ListArray.from_arrays(
             np.arange(0, found.size + 1, nearest, dtype=np.int32), pa.array(found.ravel()))
+        place = np.cumsum(there.to_numpy(zero_copy_only=False)) - 1
+        return lists.take(pa.array(place, mask=~there.to_numpy(zero_copy_only=False)))
 
     return order
 
