@@ -5,8 +5,12 @@ from pyspark.sql import functions as F
 
 from tests.small_study import AS_OF, chain, study
 from visittrail.operators import approvals as A
+from visittrail.operators import plans as P
+from visittrail.operators import reconcile as R
 from visittrail.operators import sites as S
-from visittrail.plans.report import visit_report
+from visittrail.operators import visits as V
+from visittrail.operators.counted import counted, expanded, once
+from visittrail.plans.report import plans_with_monitors, visit_report
 
 
 def long_visit(spark, numbers):
@@ -73,3 +77,49 @@ def test_codes_of_a_country_do_not_multiply_its_sites(spark):
     tables = study(spark, mv=[], site=site, sites=sites, study=rows)
     joined = S._with_protocol(tables.site, tables.sites, tables.study)
     assert joined.count() == 1000
+
+
+def crowded(spark, copies=5000):
+    """A study with 5,000 copies of each row that joins read: steps, links, sites and plans."""
+    base = study(spark, mv=chain((1, "2024-06-01"), (2, "2024-06-03"), (1, "2024-06-04")))
+    times = F.explode(F.sequence(F.lit(1), F.lit(copies)))
+    return type(base)(**{
+        kind: table.withColumn("copy", times).drop("copy") if kind in ("mv", "link", "site", "plan")
+        else table for kind, table in vars(base).items()})
+
+
+def test_copies_are_counted_through_joins(spark):
+    tables = crowded(spark)
+    n = 5000
+    flagged, links = P.plan_flags(tables.plan), P.plan_site_links(tables.link)
+    assert [r["n"] for r in P.counted_plan_links(flagged, links).collect()] == [n ** 2]
+    found = P.counted_plan_monitors(flagged, links, tables.site).collect()
+    assert [(r["site_monitor"], r["n"]) for r in found] == [("Mo Nitor", n ** 3)]
+    rows = A.complete_approvals(tables.mv)
+    dated = {r["approvalid"]: r["n"] for r in A.counted_next_approval_date(rows, AS_OF).collect()}
+    assert dated == {1: n, 2: n, 3: 1}
+
+
+def test_copies_of_key_steps_are_counted(spark):
+    """Steps entered by 5,000 people each: 5,000 rows of the first, last and rejected step."""
+    base = study(spark, mv=chain((1, "2024-06-01"), (2, "2024-06-03"), (1, "2024-06-04")))
+    people = F.explode(F.transform(F.sequence(F.lit(1), F.lit(5000)), lambda i: i.cast("string")))
+    rows = A.complete_approvals(base.mv.withColumn("username", people))
+    facts = A.approval_facts(rows, AS_OF)
+    summary = V.visit_rows(V.visit_summary(A.approval_steps(rows, A.step_chain(rows), AS_OF)))
+    submitted, rejected = V.submissions(facts), V.rejections(facts)
+    staged = V.counted_stage_dates(once(summary), submitted, rejected)
+    assert [r["n"] for r in staged.collect()] == [5000 ** 3]
+    checked = V.counted_visit_flags(staged)
+    assert [r["n"] for r in checked.collect()] == [5000 ** 3]
+    plans = plans_with_monitors(base)
+    assert [r["n"] for r in R.counted_left_visit(plans, checked).collect()] == [5000 ** 3]
+    assert [r["n"] for r in R.counted_right_visit(plans, checked).collect()] == [5000 ** 3]
+    assert V.visit_first_submission(summary, submitted).count() == 5000
+
+
+def test_counted_rows_expand_to_their_copies(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 10_001), (None, 4096)], "x string, n long")
+    found = {r["x"]: r["count"] for r in expanded(rows).groupBy("x").count().collect()}
+    assert found == {"a": 1, "b": 10_001, None: 4096}
+    assert {tuple(r) for r in counted(expanded(rows)).collect()} == {tuple(r) for r in rows.collect()}
