@@ -68,6 +68,19 @@ def test_lookup_reads_single_urls(spark, rows):
     assert {len(r["payload"]) for r in found if r["page_id"] == 1004} == {300_000}
 
 
+def test_revisits_without_their_response_keep_size_and_digest(spark):
+    html = "shared " * 40
+    rows = [(i, f"http://h{i}/", html, "", "") for i in range(5)]
+    archive = warc.write_archive(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    keys = spark.createDataFrame([("http://h3/",), ("http://h4/",)], "url string").select(
+        url_key(F.col("url")).alias("url_key"))
+    records = warc.read_records(archive, warc.lookup(archive, keys))
+    found = warc.digests(records).select(*COLUMNS).collect()
+    digest = hashlib.sha256(html.encode()).hexdigest()
+    assert {tuple(r) for r in found} == {(i, len(html), digest, "revisit", 0) for i in (3, 4)}
+    assert records.rdd.getNumPartitions() >= 2
+
+
 def test_archives_are_readable_one_record_at_a_time(spark, rows, tmp_path):
     pages = spark.createDataFrame(rows, SCHEMA).coalesce(1)
     archive = warc.write_archive(pages, f"file://{tmp_path}")

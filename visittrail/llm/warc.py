@@ -36,6 +36,8 @@ BLOCK_LINES, ARCHIVE_BYTES = 300, 1 << 30
 SHARD_LINES = 1_000_000
 #: Places that lie this close in an archive are read at once, up to this size.
 NEAR, MOST_AT_ONCE = 1 << 16, 8 << 20
+#: Bytes of archives that one task reads, about; there are at least as many tasks as cores.
+READ_BYTES = 64 << 20
 
 CAPTURES = "url_key string, page_id {id}, archive string, offset long, size long, " \
     "record_type string"
@@ -309,10 +311,13 @@ def read_records(archive: Archive, captures: DataFrame) -> DataFrame:
     payload: the record's own (empty for revisits), digest and length: as its headers say. Records
     are read by range, those of an archive in the order of their places.
     """
-    folder = archive.folder
+    folder, spark = archive.folder, captures.sparkSession
     id_type = dict(captures.dtypes)["page_id"]
+    # Places are small whatever they point at, so the tasks follow the archives' bytes.
+    whole = archive.captures.agg(F.sum("size")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, whole // READ_BYTES + 1)
     ordered = captures.select("archive", "offset", "size").repartitionByRange(
-        "archive", "offset").sortWithinPartitions("archive", "offset")
+        tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, file = None, None
@@ -362,10 +367,11 @@ def digests(records: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of full payloads.
 
     A response's size and digest are those of the payload read back. A revisit has none of its
-    own: it meets the response it refers to, and has that one's.
+    own: it meets the response it refers to, and has that one's. Where that response is not
+    among the records, as after a lookup of some keys, they are what the revisit's header says.
     """
     own = records.select(
-        "page_id", "record_type", "refers_to", "digest",
+        "page_id", "record_type", "refers_to", "digest", "length",
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_digest"))
     own = stored(own, "warc-read")
@@ -373,9 +379,11 @@ def digests(records: DataFrame) -> DataFrame:
         F.col("page_id").alias("of"), F.col("payload_digest").alias("first_digest")).agg(
         F.max("payload_bytes").alias("first_bytes"))
     met = own.filter("record_type = 'revisit'").join(
-        first, (F.col("refers_to") == F.col("of")) & (F.col("digest") == F.col("first_digest")))
+        first, (F.col("refers_to") == F.col("of")) & (F.col("digest") == F.col("first_digest")),
+        "left")
     columns = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest"]
     revisits = met.withColumns({
-        "payload_bytes": F.col("first_bytes"), "payload_digest": F.col("first_digest")})
+        "payload_bytes": F.coalesce("first_bytes", "length"),
+        "payload_digest": F.coalesce("first_digest", "digest")})
     return own.filter("record_type = 'response'").select(*columns).unionByName(
         revisits.select(*columns))
