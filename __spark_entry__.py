@@ -46,6 +46,10 @@ class Study:
     def tables(self):
         return warehouse.warehouse_study(self.spark, self.path)
 
+    @cached_property
+    def stored(self):
+        return studies.stored_study(self.tables, new_folder(self.spark, "study"))
+
     @cached_property
     def plans(self):
         return plans.plan_flags(self.tables.plan)
@@ -89,14 +93,12 @@ class Study:
     def checked(self):
         return visits.counted_visit_flags(self.staged)
 
-    @cached_property
-    def distinct_visits(self):
-        return report.distinct_visits(self.tables, AS_OF)
-
     @cached_property
     def reconciled(self):
-        keys = plans.complete_rows(self.tables.plan)
-        return reconcile.plan_visit_rows(self.plan_agg, self.distinct_visits, keys)
+        t = self.stored
+        return reconcile.plan_visit_rows(
+            report.plans_with_monitors(t), report.distinct_visits(t, AS_OF),
+            plans.complete_rows(t.plan))
 
     @cached_property
     def counted(self):
@@ -542,13 +544,12 @@ def on_time_flags(s):
 
 @query
 def visit_report(s):
-    return report.visit_report(s.tables, AS_OF).select(*REPORT_COLUMNS)
+    return report.visit_report(s.stored, AS_OF).select(*REPORT_COLUMNS)
 
 
 @query
 def all_studies(s):
-    north = warehouse.warehouse_study(s.spark, s.path, "north")
-    south = warehouse.warehouse_study(s.spark, s.path, "south")
+    north, south = (studies.labelled(s.stored, name) for name in ("north", "south"))
     return report.studies_report(studies.all_studies([north, south]), AS_OF)
 
 

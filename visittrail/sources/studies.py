@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -147,6 +147,27 @@ def _stacked(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, as_text)
 
 
+def labelled(tables: StudyTables, prefix: str) -> StudyTables:
+    """The same rows as a study of another prefix."""
+    return StudyTables(**{
+        part.name: getattr(tables, part.name).withColumn(STUDY, F.lit(prefix))
+        for part in fields(StudyTables)
+    })
+
+
+def stored_study(tables: StudyTables, folder: str) -> StudyTables:
+    """The same study with plans, steps and links written to a folder and read from there.
+
+    The report reads these many times; where they are derived by joins, they are so once.
+    """
+    def stored(kind: str) -> DataFrame:
+        table = getattr(tables, kind)
+        table.write.parquet(f"{folder}/{kind}")
+        return table.sparkSession.read.schema(table.schema).parquet(f"{folder}/{kind}")
+
+    return replace(tables, **{kind: stored(kind) for kind in ("plan", "mv", "link")})
+
+
 def write_report(report: DataFrame, path: str, studies: Iterable[str] = ()) -> None:
     """Writes a report. That of several studies is partitioned by study and replaces only its own.
 
