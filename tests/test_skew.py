@@ -38,6 +38,28 @@ def test_steps_are_linked_across_blocks(spark, numbers):
     }
 
 
+def test_texts_of_a_long_visit_follow_its_numbers(spark):
+    """60,000 steps: the texts are put together from blocks, in the order of the numbers."""
+    number = F.explode(F.sequence(F.lit(-30_000), F.lit(29_999)))
+    base = study(spark, mv=[{}]).mv.drop("approvalid").withColumn("approvalid", number)
+    long = base.withColumns({
+        "approvalstage": F.pmod("approvalid", F.lit(3)).cast("int") + 1,
+        "approvalname": F.concat(F.lit("n"), F.pmod("approvalid", F.lit(4)).cast("string")),
+        "approvaldat": F.when(F.col("approvalid") % 1000 != 0, F.col("approvaldat")),
+    })
+    unnumbered = base.limit(1).withColumns(
+        {"approvalid": F.lit(None).cast("int"), "approvalstage": F.lit(3)})
+    rows = A.complete_approvals(long.unionByName(unnumbered))
+    row = V.visit_summary(A.approval_steps(rows, A.step_chain(rows), AS_OF)).first()
+    letters = ["SRA"[n % 3] for n in range(-30_000, 30_000)]
+    assert row["stage"] == ",".join(["A", *letters])
+    assert row["stagesubmittorname"] == "n0,n1,n2,n3"
+    assert row["submission_round"] == letters.count("S") == 20_000
+    dated = [n for n in range(-30_000, 29_999) if n % 3 == 0 and n % 1000 and (n + 1) % 1000]
+    assert row["submission_next"].count(";") == len(dated) - 1
+    assert row["data_issue_missing_first_submission_date"] == 0
+
+
 def test_copies_of_steps_do_not_multiply(spark):
     """5,000 copies of each of three steps, entered by different people."""
     base = study(spark, mv=chain((1, "2024-06-01"), (2, "2024-06-03"), (3, "2024-06-04")))

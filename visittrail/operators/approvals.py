@@ -221,9 +221,13 @@ def _is_matchable() -> Column:
     return known & F.col("visitid").isNotNull() & F.col("approvalid").isNotNull()
 
 
+def step_block() -> Column:
+    """Which block of numbers a step is in; NULL for a step without a number."""
+    return F.floor(F.col("approvalid") / BLOCK).cast("int")
+
+
 def _outcomes(approvals: DataFrame) -> DataFrame:
-    block = F.floor(F.col("approvalid") / BLOCK).cast("int")
-    rows = approvals.withColumns({"place": F.struct(*PLACE), "block": block})
+    rows = approvals.withColumns({"place": F.struct(*PLACE), "block": step_block()})
     return rows.select(*OUTCOME, "block").distinct()
 
 

@@ -22,6 +22,7 @@ from visittrail.operators.approvals import (
     VISIT,
     VISIT_KEY,
     following_results,
+    step_block,
     with_stage_columns,
 )
 from visittrail.operators.counted import COUNT, counted, expanded, joined, once, summed
@@ -42,9 +43,9 @@ STEP_KEY = [STUDY, "docid", "countryid", "visitid"]
 def visit_summary(steps: DataFrame) -> DataFrame:
     """One row per visit from the rows of approval_steps.
 
-    Steps that differ only in who entered them are counted first. A visit's texts are then
-    made from one list with an entry per distinct step, which is no more than the texts
-    themselves have to name.
+    Steps that differ only in who entered them are counted first. Texts are made from a list of
+    distinct steps for each block of numbers, and a visit's from those of its blocks in order, so
+    that no task gathers all steps of a long visit.
     """
     counted = steps.groupBy(
         *VISIT_KEY, "approvalid", "outcome", "approvalstage", "approvaldat", "approvalname",
@@ -63,7 +64,8 @@ def visit_summary(steps: DataFrame) -> DataFrame:
     def times(condition: Column) -> Column:
         return F.sum(F.when(condition, n).otherwise(0))
 
-    summary = with_stage_columns(counted).groupBy(*VISIT_KEY).agg(
+    blocks = with_stage_columns(counted).withColumn("block", step_block()).groupBy(
+        *VISIT_KEY, "block").agg(
         F.max("mvperf").alias("mvperf"),
         F.max("mvdat").alias("mvdat"),
         times(F.col("rejection_counter").isNotNull()).alias("rejection_round"),
@@ -73,8 +75,8 @@ def visit_summary(steps: DataFrame) -> DataFrame:
         F.max("rejection_approvalid").alias("latest_rejection_approvalid"),
         F.max("approval_date").alias("approval_date"),
         F.max(F.coalesce("mvendat", "mvdat")).alias("mvendat"),
-        (F.sum(submitted * n) - times(rejected == 1)).alias("total_submit_len"),
-        (F.sum(rejected * n) - times(resubmitted_at_once)).alias("total_cra_time"),
+        F.sum(submitted * n).alias("submit_len"), times(rejected == 1).alias("at_once"),
+        F.sum(rejected * n).alias("cra_time"), times(resubmitted_at_once).alias("again"),
         *(times(F.col(flag).isNotNull()).alias(flag) for flag in STAGE_ISSUES),
         F.collect_list(F.struct(
             "approvalid", "approvalstage", "stage", "submission_next", "reject_submit", "n",
@@ -82,22 +84,35 @@ def visit_summary(steps: DataFrame) -> DataFrame:
             clean_text(F.col("approvalname")).alias("name"),
         )).alias("steps"),
     )
-    return summary.withColumns({
-        "mvrepname": _names(lambda s: s["reporter"]),
-        "submitter_name": _names(lambda s: F.when(s["approvalid"] == 1, s["name"])),
-        "stagesubmittorname": _names(lambda s: F.when(s["approvalstage"] == SUBMIT, s["name"])),
-        "approvalname": _names(lambda s: s["name"]),
-        "reviewername": _names(
-            lambda s: F.when(s["approvalstage"].isin(REJECT, APPROVE), s["name"])
-        ),
-        "stage": _listed("stage", ","),
-        "submission_next": _listed("submission_next", ";"),
-        "reject_submit": _listed("reject_submit", ";"),
-    }).drop("steps")
-
-
-def _names(name) -> Column:
-    return joined_names(F.transform("steps", name))
+    names = {
+        "mvrepname": lambda s: s["reporter"],
+        "submitter_name": lambda s: F.when(s["approvalid"] == 1, s["name"]),
+        "stagesubmittorname": lambda s: F.when(s["approvalstage"] == SUBMIT, s["name"]),
+        "approvalname": lambda s: s["name"],
+        "reviewername": lambda s: F.when(s["approvalstage"].isin(REJECT, APPROVE), s["name"]),
+    }
+    texts = {"stage": ",", "submission_next": ";", "reject_submit": ";"}
+    part = F.struct(
+        "block", *(_listed(c, sign).alias(c) for c, sign in texts.items()),
+        *(F.array_distinct(F.transform("steps", name)).alias(c) for c, name in names.items()))
+    sums = ["rejection_round", "submission_round", *STAGE_ISSUES]
+    return (
+        blocks.withColumn("part", part).drop("steps").groupBy(*VISIT_KEY).agg(
+            *(F.max(c).alias(c) for c in (
+                "mvperf", "mvdat", "latest_submission_approvalid", "latest_rejection_approvalid",
+                "approval_date", "mvendat")),
+            F.min("first_submission_approvalid").alias("first_submission_approvalid"),
+            *(F.sum(c).alias(c) for c in sums),
+            (F.sum("submit_len") - F.sum("at_once")).alias("total_submit_len"),
+            (F.sum("cra_time") - F.sum("again")).alias("total_cra_time"),
+            F.array_sort(F.collect_list("part")).alias("parts"),
+        )
+        .withColumns({
+            **{c: joined_names(F.flatten(f"parts.{c}")) for c in names},
+            **{c: _in_order(c, sign) for c, sign in texts.items()},
+        })
+        .drop("parts")
+    )
 
 
 def _listed(column: str, separator: str) -> Column:
@@ -107,6 +122,12 @@ def _listed(column: str, separator: str) -> Column:
     return joined_entries(entries, separator)
 
 
+def _in_order(column: str, separator: str) -> Column:
+    """A visit's text from those of its blocks; NULL when none has any."""
+    known = F.array_compact(F.col(f"parts.{column}"))
+    return F.when(F.size(known) > 0, F.array_join(known, separator))
+
+
 def visit_rows(summary: DataFrame) -> DataFrame:
     """The summary with the visit's identity in plain columns."""
     return summary.withColumns({c: F.col(f"place.{c}") for c in PLACE}).select(*SUMMARY_COLUMNS)
