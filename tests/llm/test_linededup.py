@@ -40,6 +40,15 @@ def test_equals_counting(documents, rows):
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == brute(rows)
 
 
+def test_large_lists_meet_pages_by_copy(documents, rows):
+    docs = documents(rows)
+    out = linededup.line_dedup(docs, sent_bytes=0, dropped="N_Chars")
+    assert out.columns == [*(c for c in docs.columns if c != "n_chars"), "N_Chars"]
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == brute(rows)
+    assert "BroadcastExchange" not in linededup.line_dedup(
+        docs, sent_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_copies_of_a_page_stay(documents, rows):
     out = linededup.line_dedup(documents(rows), dropped="n").filter("doc_id between 300 and 349")
     assert {(r["text"], r["n"]) for r in out.collect()} == {("a copied page\nof two lines", 0)}
