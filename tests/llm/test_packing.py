@@ -75,6 +75,14 @@ def test_written_matrices_round_trip(documents, rows, tokenizer):
     assert sorted(back, key=order) == sorted(expected, key=order)
 
 
+def test_text_ids_and_wide_vocabularies(spark):
+    docs = spark.createDataFrame([("a", "one two"), ("b", None)], "doc_id string, text string")
+    rows = token_output.write_packed(docs, PATH, length=8).collect()
+    assert sorted(i for r in rows for i in r["doc_ids"]) == ["a", "b"]
+    with pytest.raises(ValueError):
+        token_output.write_packed(docs, PATH, length=8, kind="<u1")
+
+
 def test_empty_table(documents):
     assert packing.packed(documents([]), PATH).collect() == []
     assert token_output.write_packed(documents([]), PATH).collect() == []

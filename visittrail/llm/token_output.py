@@ -7,16 +7,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenizers import Tokenizer
+
 from visittrail.llm.bestfit import Bins
 from visittrail.llm.common import new_folder, prepare, stored
 from visittrail.llm.files import new_file, open_folder
 from visittrail.llm.tokens import tokenized
 
 #: Text bytes that one task packs, about: pieces are dealt to so many groups by hash.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
 
 SCHEMA = """sequence_id long, file string, row int, used int, n_segments int,
-    doc_ids array<long>, pieces array<int>, cu_seqlens array<int>, position_resets array<int>,
+    doc_ids array<{}>, pieces array<int>, cu_seqlens array<int>, position_resets array<int>,
     ids_crc32 long"""
 
 
@@ -39,8 +41,12 @@ def write_packed(docs: DataFrame, path: str, folder: str | None = None, length:
     longer than `length` are cut without loss; null texts are empty documents (just end_id).
     Pieces are dealt to groups of about GROUP_BYTES of text, each packed in one task. The rows are
     stored, so files of lost attempts are never named. An empty table gives no row and no file.
+    Document ids are of any type. A vocabulary with ids beyond `kind` is an error.
     """
     spark = prepare(docs.sparkSession)
+    last = max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
+    if max(last, end_id, pad_id) > np.iinfo(kind).max:
+        raise ValueError(f"ids up to {last} do not fit into {kind}")
     folder = folder or new_folder(spark, "packed")
     size = docs.agg(F.sum(F.octet_length(text) + 8)).first()[0] or 0
     groups = size // GROUP_BYTES + 1
@@ -51,7 +57,8 @@ def write_packed(docs: DataFrame, path: str, folder: str | None = None, length:
     def pack(table: pa.Table) -> pa.Table:
         return _written(table, folder, length, pad_id, kind)
 
-    return stored(dealt.groupBy("group").applyInArrow(pack, SCHEMA), "packed-rows")
+    schema = SCHEMA.format(dict(dealt.dtypes)["doc_id"])
+    return stored(dealt.groupBy("group").applyInArrow(pack, schema), "packed-rows")
 
 
 def _written(table: pa.Table, folder: str, length: int, pad_id: int, kind: str) -> pa.Table:
@@ -80,7 +87,7 @@ def _written(table: pa.Table, folder: str, length: int, pad_id: int, kind: str)
             for k, v in values.items():
                 rows[k].append(v)
     kinds = {"sequence_id": pa.int64(), "file": pa.string(), "row": pa.int32(),
-             "used": pa.int32(), "n_segments": pa.int32(), "doc_ids": pa.list_(pa.int64()),
+             "used": pa.int32(), "n_segments": pa.int32(), "doc_ids": pa.list_(table.schema.field("doc_id").type),
              "pieces": pa.list_(pa.int32()), "cu_seqlens": pa.list_(pa.int32()),
              "position_resets": pa.list_(pa.int32()), "ids_crc32": pa.int64()}
     return pa.table({k: pa.array(v, kinds[k]) for k, v in rows.items()})
