@@ -45,7 +45,7 @@ TERM_BYTES = bytes(
 #: 32-bit), digests (64-bit) and counts (64-bit). A group without a source counts a language's rows.
 BLOCKS = """bucket int, salt int, groups array<struct<lang: string, source: string>>,
     at binary, digests binary, counts binary"""
-KEY = ["lang", "digest", "k"]
+GROUP, KEY = ["lang", "source"], ["lang", "digest", "k"]
 
 
 def terms(text: bytes) -> list[bytes]:
@@ -86,17 +86,30 @@ def divergence(docs: DataFrame, least_docs: int = 30, top: int = 50, text: str =
         F.col(text).cast("string").alias("text"))
     kept, counts = _kept_terms(named, least_docs, digest_bits, held_terms, salt_bytes)
 
-    group = ["lang", "source"]
-    sizes = counts.groupBy(group).agg(F.sum("n").alias("own"))
+    groups = stored(_groups(named, kept, counts, cells, sources), "groups")
+    shares = counts.join(groups, GROUP).withColumn("p", share("n", "total"))
+    return _pairs(shares, groups, sources).unionByName(_own_terms(shares, counts, kept, top))
+
+
+def _groups(named: DataFrame, kept: DataFrame, counts: DataFrame, cells: int,
+            sources: int) -> DataFrame:
+    """Each source of each language: its number, its total and the language's, how work is dealt.
+
+    One row a group, so that all that is known of a language reaches its terms by the key of the
+    source, and no join has to bring a whole language together.
+    """
+    own = counts.groupBy(GROUP).agg(F.sum("n").alias("own"), F.count(F.lit(1)).alias("cells"))
     vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    groups = named.select(group).distinct().join(sizes, group, "left").join(
-        vocabulary, "lang", "left").select(
-        *group, (F.coalesce("own", F.lit(0)) + PRIOR * F.coalesce("v", F.lit(0))).alias("total"))
-    groups = stored(groups, "group-sizes")
-    shares = counts.join(groups, group).select(*group, "digest", "k", share("n", "total").alias("p"))
-    pairs = _pairs(shares, groups, cells, sources)
-    own = _own_terms(shares, counts, kept, top)
-    return pairs.unionByName(own)
+    found = named.select(GROUP).distinct().join(own, GROUP, "left").join(vocabulary, "lang", "left")
+    found = found.fillna(0, ["own", "cells", "v"])
+    whole = Window.partitionBy("lang")
+    added = PRIOR * F.col("v")
+    return found.select(
+        *GROUP, (F.row_number().over(whole.orderBy("source")) - 1).alias("number"),
+        (F.col("own") + added).alias("total"),
+        (F.sum("own").over(whole) + added).alias("lang_total"),
+        F.ceil((F.sum("cells").over(whole) + 1) / cells).alias("buckets"),
+        F.ceil(F.count(F.lit(1)).over(whole) / sources).alias("blocks"))
 
 
 def _digests(names: list[bytes], bits: int) -> np.ndarray:
@@ -333,11 +346,9 @@ def _in_bitmap(bitmap: np.ndarray, digests: np.ndarray) -> np.ndarray:
 
 def _own_terms(shares: DataFrame, counts: DataFrame, kept: DataFrame, top: int) -> DataFrame:
     """The terms a source has more of than its language; strings are joined to the last ones only."""
-    whole = counts.groupBy(KEY).agg(F.sum("n").alias("n"))
-    totals = whole.groupBy("lang").agg(
-        (F.sum("n") + PRIOR * F.count(F.lit(1))).alias("total"))
-    whole = whole.join(totals, "lang").select(*KEY, share("n", "total").alias("q"))
-    above = shares.join(whole, KEY).filter(F.col("p") > F.col("q")).select(
+    whole = counts.groupBy(KEY).agg(F.sum("n").alias("whole"))
+    above = shares.join(whole, KEY).withColumn("q", share("whole", "lang_total"))
+    above = above.filter(F.col("p") > F.col("q")).select(
         "source", *KEY, (F.col("p") - F.col("q")).alias("value"))
     largest = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
     tied = above.withColumn("at", F.rank().over(largest)).filter(F.col("at") <= top)
@@ -347,28 +358,21 @@ def _own_terms(shares: DataFrame, counts: DataFrame, kept: DataFrame, top: int)
         "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
 
 
-def _pairs(shares: DataFrame, groups: DataFrame, most_cells: int, most_sources: int) -> DataFrame:
+def _pairs(shares: DataFrame, groups: DataFrame, most_sources: int) -> DataFrame:
     """Sums of differences for all pairs of sources of a language.
 
     A language's terms are dealt to buckets; a task lays one bucket out as a matrix of terms by
     sources, filled with the share of a term that a source lacks, and adds up differences. More
-    than `most_sources` sources are compared by as many tasks, each for its own share of the first ones.
+    than `most_sources` sources are compared by as many tasks, each for its own share of the first
+    ones.
     """
-    base = share(F.lit(0), F.col("total"))
-    in_lang = Window.partitionBy("lang").orderBy("source")
-    numbered = groups.withColumn("number", F.row_number().over(in_lang) - 1)
-    cells = shares.groupBy("lang").agg(F.count(F.lit(1)).alias("cells"))
-    width = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
-    width = width.join(cells, "lang", "left").select(
-        "lang", F.ceil((F.coalesce("cells", F.lit(0)) + 1) / most_cells).alias("buckets"),
-        F.ceil(F.col("sources") / most_sources).alias("blocks"))
+    base = F.coalesce(share(F.lit(0), F.col("total")), F.lit(0))
     blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    empty = numbered.join(width, "lang").select(
+    empty = groups.select(
         "lang", "number", F.lit(None).cast("long").alias("digest"),
-        F.lit(None).cast("int").alias("k"), F.coalesce(base, F.lit(0)).alias("p"), "blocks",
+        F.lit(None).cast("int").alias("k"), base.alias("p"), "blocks",
         F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("bucket"))
-    filled = shares.join(numbered.select("lang", "source", "number"), ["lang", "source"]).join(
-        width, "lang").select(
+    filled = shares.select(
         "lang", "number", "digest", "k", "p", "blocks",
         F.pmod(F.xxhash64("digest", "k"), "buckets").alias("bucket"))
     dealt = empty.unionByName(filled).select(
@@ -379,7 +383,7 @@ def _pairs(shares: DataFrame, groups: DataFrame, most_cells: int, most_sources:
     both = sums.select("lang", "value", F.explode(F.array(
         F.struct(F.col("a").alias("one"), F.col("b").alias("other")),
         F.struct(F.col("b").alias("one"), F.col("a").alias("other")))).alias("x"))
-    names = numbered.select("lang", "source", "number")
+    names = groups.select("lang", "source", "number")
     of = both.select("lang", "value", "x.one", "x.other")
     of = of.join(names.select("lang", "source", F.col("number").alias("one")), ["lang", "one"])
     of = of.join(names.select("lang", F.col("source").alias("item"),
