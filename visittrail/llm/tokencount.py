@@ -1,35 +1,50 @@
 """Token counts of whole texts.
 
 Texts are encoded in Arrow functions that return lengths only. A batch for the tokenizer is filled
-by bytes, not by rows; a text that is longer than a batch is cut where the tokenizer cuts it anyway,
-so that one text never stands in memory as one list of tokens.
+by bytes, not by rows. Where the tokenizer cuts texts at white space anyway, they are cut there
+first: each distinct word of a block of texts is encoded once, and one text never stands in memory as
+one list of tokens.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
 from pathlib import Path
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visittrail.llm.common import prepare
+from visittrail.llm.tokens import WordCache
 
-#: Characters of texts that the tokenizer is given at once, about.
-BATCH_CHARS = 256 << 10
+#: Characters that the tokenizer is given at once, and of texts whose words are counted together.
+BATCH_CHARS, BLOCK_CHARS = 64 << 10, 2 << 20
+#: Words are remembered up to this length.
+CACHED_CHARS = 32
 
-#: Places where a byte-level tokenizer always ends a word: before ASCII white space that follows
-#: something else, and between letters and full-width punctuation. No special string has them.
+#: Places where a byte-level tokenizer always ends a word: before white space that follows something
+#: else, and between letters and full-width punctuation. No special string has them.
 SAFE_CUT = regex.compile(
     r"(?<=\S)(?=[ \t\n\r])"
     r"|(?<=[A-Za-z0-9À-ÖØ-öぁ-ゖァ-ヺ一-龥가-힣])"
     r"(?=[、。！，．：；？])")
 
+#: White space and what follows it. The signs are white space here but not to tokenizers.
+WORD, ODD_SIGN = re.compile(r"\s*\S+|\s+"), re.compile(r"[\x1c-\x1f]")
+
+
+def words(text: str, most: int) -> list[str]:
+    """The text in parts whose tokens add up to its own, long ones cut at further safe places."""
+    found = [text] if ODD_SIGN.search(text) else WORD.findall(text)
+    if len(text) <= most:
+        return found
+    return [part for word in found for part in (parts(word, most) if len(word) > most else (word,))]
+
 
 def parts(text: str, most: int) -> Iterator[str]:
     """The text, cut at the first safe place after every `most` characters."""
@@ -54,53 +69,62 @@ def cuts_safely(spec: dict) -> bool:
     )
 
 
-def counter(name: str, model: bytes) -> tuple[Callable[[list[str]], list[int]], bool]:
-    """(numbers of tokens of texts, whether texts may be cut) for a .json or .model file."""
-    if name.endswith(".model"):
-        import sentencepiece
-
-        pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        return lambda texts: [len(x) for x in pieces.encode(texts, num_threads=1)], False
-
-    # One task has one core: the library's own threads would take those of other tasks.
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(model.decode())
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-
-    def count(texts: list[str]) -> list[int]:
-        return [len(x) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return count, cuts_safely(json.loads(model))
-
-
-def count_all(texts: list[str], count, cut: bool, most: int = BATCH_CHARS) -> np.ndarray:
-    """Tokens of each text; `most` characters or one part are encoded at a time."""
-    totals = np.zeros(len(texts), dtype=np.int64)
-    batch, owners, size = [], [], 0
-
-    def flush() -> None:
-        np.add.at(totals, owners, count(batch))
-        batch.clear()
-        owners.clear()
-
-    for i, text in enumerate(texts):
-        for part in parts(text, most) if cut else (text,):
-            if batch and size + len(part) > most:
-                flush()
-                size = 0
-            batch.append(part)
-            owners.append(i)
-            size += len(part)
+class Counted(WordCache):
+    """Numbers of tokens for a .json or .model file, remembered by word where texts may be cut."""
+
+    def __init__(self, name: str, model: bytes):
+        super().__init__()
+        if name.endswith(".model"):
+            import sentencepiece
+
+            pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+            self.encode, self.cut = (lambda texts: pieces.encode(texts, num_threads=1)), False
+            return
+        # One task has one core: the library's own threads would take those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(model.decode())
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        self.encode = lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.cut = cuts_safely(json.loads(model))
+
+    def numbers(self, texts: list[str], most: int) -> Iterator[int]:
+        """Tokens of each text; `most` characters or one text are encoded at a time."""
+        for batch in by_size(texts, most):
+            yield from map(len, self.encode(batch))
+
+    def count(self, texts: list[str], most: int = BATCH_CHARS) -> list[int]:
+        if not self.cut:
+            return list(self.numbers(texts, most))
+        totals = []
+        for block in by_size(texts, BLOCK_CHARS):
+            own = [words(text, most) for text in block]
+            new = self.missing(set().union(*own))
+            self.update(zip(new, self.numbers(new, most), strict=True))
+            totals += [sum(map(self.__getitem__, some)) for some in own]
+            for word in new:
+                if len(word) > CACHED_CHARS:
+                    del self[word]
+        return totals
+
+
+def by_size(texts: list[str], most: int) -> Iterator[list[str]]:
+    """The texts in turn, in lists of at most so many characters or of one text."""
+    batch, size = [], 0
+    for text in texts:
+        if batch and size + len(text) > most:
+            yield batch
+            batch, size = [], 0
+        batch.append(text)
+        size += len(text)
     if batch:
-        flush()
-    return totals
+        yield batch
 
 
 #: Kept between the tasks of one worker.
-_READY: dict[str, tuple] = {}
+_READY: dict[str, Counted] = {}
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 1024, text: str = "text",
@@ -120,8 +144,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, text: str = "tex
     def tokens(texts: pa.Array) -> pa.Array:
         name, model = sent.value
         if name not in _READY:
-            _READY[name] = counter(name, model)
-        return pa.array(count_all(texts.fill_null("").to_pylist(), *_READY[name], batch_chars))
+            _READY[name] = Counted(name, model)
+        counts = _READY[name].count(texts.fill_null("").to_pylist(), batch_chars)
+        return pa.array(counts, pa.int64())
 
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     counted = docs.select(
