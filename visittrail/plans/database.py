@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visittrail.fixed_values import EXPECTED_COLUMNS
-from visittrail.plans.discovery import layout_classify, layout_counts, report_needs
+from visittrail.plans.discovery import layout_counts, layout_number, with_needs
 from visittrail.plans.report import studies_report
 from visittrail.sources.catalog import catalog_listing, listed_columns, listed_tables
 from visittrail.sources.studies import StudyTables, read_listed_studies
@@ -30,7 +30,9 @@ def study_readiness(tables: DataFrame, columns: DataFrame) -> DataFrame:
     number. The reason counts the expected columns of each kind that are there, for kinds that
     lack some, unless the layout is one of those that do without them.
     """
-    counts = layout_counts(tables, columns)
+    # Each prefix of a listed table has its counts, so what else it needs is added to these.
+    counted = with_needs(layout_counts(tables, columns), columns).withColumn(
+        "query_number", layout_number())
     number, parts = F.col("query_number"), []
     for kind, expected in EXPECTED_COLUMNS.items():
         there = F.col(f"{kind}_cols")
@@ -40,12 +42,9 @@ def study_readiness(tables: DataFrame, columns: DataFrame) -> DataFrame:
     parts.append(F.when(~F.col("has_link"), "no link table"))
     parts.append(F.when(~F.col("has_number"), "site has no monitor number"))
     ready = (number > 0) & F.col("has_link") & F.col("has_number")
-    needs = report_needs(tables, columns)
-    return (
-        counts.join(layout_classify(counts), "prefix").join(needs, "prefix")
-        .select("prefix", "query_number", ready.alias("report_ready"),
-                F.when(~ready, F.concat_ws(", ", *parts)).alias("reason"))
-    )
+    return counted.select(
+        "prefix", "query_number", ready.alias("report_ready"),
+        F.when(~ready, F.concat_ws(", ", *parts)).alias("reason"))
 
 
 def database_report(

@@ -57,12 +57,16 @@ def layout_counts(tables: DataFrame, columns: DataFrame) -> DataFrame:
 
 def layout_classify(counts: DataFrame) -> DataFrame:
     """Number of the report that fits the prefix, 0 when none does."""
+    return counts.select("prefix", layout_number().alias("query_number"))
+
+
+def layout_number() -> Column:
     number = F
     for layout, (sizes, absent) in LAYOUTS.items():
         fits = [F.col(f"{kind}_cols") == size for kind, size in sizes.items()]
         fits += [F.col(column) == 0 for column in absent]
         number = number.when(reduce(and_, fits), layout)
-    return counts.select("prefix", _or_none(number).alias("query_number"))
+    return number.otherwise(0)
 
 
 def report_needs(tables: DataFrame, columns: DataFrame) -> DataFrame:
@@ -70,24 +74,26 @@ def report_needs(tables: DataFrame, columns: DataFrame) -> DataFrame:
 
     That is a link table and the monitor number of a site.
     """
+    return with_needs(catalog_prefixes(tables), columns).select(
+        "prefix", "has_link", "has_number")
+
+
+def with_needs(prefixes: DataFrame, columns: DataFrame) -> DataFrame:
+    """Rows by prefix with has_link and has_number."""
     name = F.col("table_name")
     listing = plain_names(columns).select(
         F.when(name.like(f"{TABLE_HEAD}%link"), F.left(name, F.length(name) - 4))
         .when(name.like(f"{TABLE_HEAD}%site") & (F.col("column_name") == "sitemonseq"),
               F.left(name, F.length(name) - 4)).alias("prefix"),
         name.like("%link").alias("is_link"),
-    ).groupBy("prefix").agg(
+    ).filter(F.col("prefix").isNotNull()).groupBy("prefix").agg(
         F.bool_or("is_link").alias("has_link"), F.bool_or(~F.col("is_link")).alias("has_number")
     )
-    return catalog_prefixes(tables).join(listing, "prefix", "left").select(
-        "prefix", *(F.coalesce(c, F.lit(False)).alias(c) for c in ("has_link", "has_number")))
+    return prefixes.join(listing, "prefix", "left").withColumns(
+        {c: F.coalesce(c, F.lit(False)) for c in ("has_link", "has_number")})
 
 
 def report_ready(tables: DataFrame, columns: DataFrame) -> DataFrame:
     """Whether a prefix also has what the report needs but the layout number leaves out."""
     ready = F.col("has_link") & F.col("has_number")
     return report_needs(tables, columns).select("prefix", ready.alias("report_ready"))
-
-
-def _or_none(number: Column) -> Column:
-    return number.otherwise(0)

@@ -155,7 +155,7 @@ def column_rows(spark: SparkSession, path: str) -> DataFrame:
         | ((key % 13 == 0) & (F.col("c.column_name") == "planmvid"))
     )
     return (
-        spark.read.parquet(f"{path}/part.parquet")
+        _parts(spark, path)
         .select("p_partkey", F.explode(expected).alias("c"))
         .filter(~left_out)
         .select(
@@ -174,7 +174,7 @@ def listing_rows(spark: SparkSession, path: str) -> DataFrame:
     """column_rows and what the report needs besides: link tables and monitor numbers, most of them."""
     key = F.col("p_partkey")
     prefix = F.concat(F.lit("repdata_p"), key.cast("string"), F.lit("_"))
-    parts = spark.read.parquet(f"{path}/part.parquet")
+    parts = _parts(spark, path)
     links = parts.filter(key % 5 != 0).select(
         F.concat(prefix, F.lit("link")).alias("table_name"),
         F.explode(F.array(*map(F.lit, TABLE_COLUMNS["link"]))).alias("column_name"))
@@ -234,6 +234,13 @@ def _orders_of_customers(spark: SparkSession, path: str) -> DataFrame:
     return orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
 
 
+def _parts(spark: SparkSession, path: str) -> DataFrame:
+    """Keys of the parts, dealt out: few bytes become dozens of rows each, on every core."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.read.parquet(f"{path}/part.parquet").select("p_partkey").repartition(
+        tasks, "p_partkey")
+
+
 def _order_day() -> Column:
     return F.col("o_orderdate").cast("date")
 
