@@ -38,3 +38,9 @@ def test_readiness_works_the_listing_out_three_times(study):
 def test_parts_are_dealt_out_before_they_multiply(spark, study):
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert column_rows(spark, SF).rdd.getNumPartitions() == tasks
+
+
+def test_step_shuffles_start_with_many_parts(spark, study):
+    text = plan(entry.QUERIES["next_approval_date"](study))
+    assert "hashpartitioning(docid" in text and ", 1000), REPARTITION_BY_COL" in text
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
