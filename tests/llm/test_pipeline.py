@@ -27,7 +27,7 @@ def tables(spark):
 
 def test_queries_are_registered():
     assert set(entry.queries()) >= {*QUERIES, "pipeline"}
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*SQL} <= set(entry.oracle_sql())
 
 
