@@ -10,14 +10,10 @@ from pyspark.sql import functions as F
 from visittrail.fixed_values import APPROVE, REJECT, STAGE_LETTERS, SUBMIT
 from visittrail.functions import clean_text, decode, elapsed_days, joined_names
 from visittrail.operators.counted import COUNT, counted, expanded
-from visittrail.operators.plans import complete_rows
+from visittrail.operators.plans import complete_rows, together
 from visittrail.schema import STUDY, TABLE_COLUMNS
 
 VISIT = [STUDY, "docid", "sitecounter", "countryid", "visitid", "mvseq"]
-# Rows of a document, country and visit type are put in one partition, once. All that follows is
-# grouped by at least these columns and therefore stays there. The study is left out: where it is
-# the same for all rows, Spark takes it out of the groupings and would shuffle again.
-TOGETHER = ["docid", "countryid", "visitid"]
 APPROVAL_COLUMNS = [STUDY, *TABLE_COLUMNS["mv"][:-1]]
 
 # What makes two approval rows the same step; the rest is reduced to a maximum or a set.
@@ -194,7 +190,7 @@ def _result() -> Column:
 
 
 def _together(approvals: DataFrame) -> DataFrame:
-    return approvals.repartition(*TOGETHER)
+    return together(approvals)
 
 
 def _numbered(rows: DataFrame) -> DataFrame:

@@ -10,12 +10,20 @@ from visittrail.schema import STUDY
 from visittrail.sources.studies import TYPED_PLANS
 
 PLAN_KEY = [STUDY, "docid", "planspid", "countryid"]
+# Rows of a document and country are put in one partition, once. All that follows is grouped and
+# joined by at least these columns and therefore stays there. The study is left out: where it is
+# the same for all rows, Spark takes it out of the groupings and would shuffle again.
+TOGETHER = ["docid", "countryid"]
 PLAN_COLUMNS = [
     STUDY, "docid", "countryid", "planspid", "planmvtyp", "planmvid", "planmvdat",
     "planmvdurat", "planmvendat", "planmvstat",
 ]
 
 
+def together(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*TOGETHER)
+
+
 def complete_rows(table: DataFrame) -> DataFrame:
     return table.filter(F.col("record_status") == COMPLETE).drop("record_status")
 
@@ -98,14 +106,15 @@ def plan_monitors_agg(plans: DataFrame, links: DataFrame, site: DataFrame) -> Da
         site.select(*site_key, name).dropna()
         .groupBy(*site_key, "name").agg(F.count(F.lit(1)).alias("staff"))
     )
+    named = links.join(staff, _same_site(links, staff)).select(
+        *(links[c] for c in PLAN_KEY), "name", "staff")
     monitors = (
-        links.join(staff, _same_site(links, staff))
-        .select(*(links[c] for c in PLAN_KEY), "name", "staff")
+        together(named)
         .groupBy(*PLAN_KEY, "name").agg(F.sum("staff").alias("n"))
         .groupBy(*PLAN_KEY).agg(F.collect_list(F.struct("name", "n")).alias("monitors"))
     )
     return (
-        plans.join(monitors, PLAN_KEY, "left")
+        together(plans).join(monitors, PLAN_KEY, "left")
         .groupBy(*plans.columns, "monitors").agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("site_monitors", _names_text("monitors", "copies"))
         .select(

@@ -14,7 +14,7 @@ VISIT_KEY = [STUDY, "docid", "countryid", "mvdat"]
 
 def plan_left_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
     """Every plan with each visit of its document, country and start date."""
-    paired = _paired(plans, _slotted(visits))
+    paired = _met(plans, visits, "left")
     return paired.withColumn("planmvstat", _status()).select(
         *plans.columns, *_visit_columns(visits)
     )
@@ -22,11 +22,7 @@ def plan_left_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
 
 def plan_right_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
     """Every visit with each plan; document, country and type are those of the visit."""
-    slotted = _slotted(visits)
-    matched = _paired(plans, slotted, "inner").withColumn("planmvtyp", F.col("visitid"))
-    return matched.select(*plans.columns, *_visit_columns(visits)).unionByName(
-        _unplanned(plans, _alone(plans, slotted), visits)
-    )
+    return _by_visit(_met(plans, visits, "right"), plans, visits)
 
 
 def counted_left_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
@@ -37,13 +33,16 @@ def counted_left_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
 def counted_right_visit(plans: DataFrame, visits: DataFrame) -> DataFrame:
     """Counted visits with each plan: plans that differ in their type alone become one row.
 
-    Rows that become equal are of one slot, so they are summed up where the joins left them.
+    Rows that become equal are of one slot, so they are summed up where the join left them.
     """
-    slotted = _slotted(visits)
-    matched = _paired(plans, slotted, "inner").withColumn("planmvtyp", F.col("visitid"))
-    alike = summed(matched.select("plan_slot", *plans.columns, *_visit_columns(visits)))
-    alone = summed(_alone(plans, slotted))
-    return alike.drop("plan_slot").unionByName(_unplanned(plans, alone, visits))
+    return summed(_by_visit(_met(plans, visits, "right"), plans, visits))
+
+
+def _by_visit(rows: DataFrame, plans: DataFrame, visits: DataFrame) -> DataFrame:
+    """Joined rows with the study, document, country and type of the visit."""
+    own = {**{c: F.col(f"slot.{c}") for c in VISIT_KEY[:-1]}, "planmvtyp": F.col("visitid")}
+    return rows.select(
+        *(own.get(c, F.col(c)).alias(c) for c in plans.columns), *_visit_columns(visits))
 
 
 def plan_visit_rows(
@@ -62,17 +61,31 @@ def plan_visit_rows(
 
 
 def distinct_plan_visits(plans: DataFrame, visits: DataFrame) -> DataFrame:
-    """Each different row of plan_visit_rows once, for visits as visit_flags gives them.
+    """Each different row of plan_visit_rows once, for distinct visits.
 
-    Rows that become equal are of one slot, so they are put together where the joins left them.
-    A visit without a plan is like no row of the other join: its slot has no plan and, unlike a
-    plan without a visit, it has a submission round. Both joins need all columns of the visits,
-    so that these are worked out and shuffled once.
+    Plans that differ in type and status alone are one row with all of these, which are made
+    distinct as they come out, so that the wide rows are not compared. A full outer join reads both
+    sides once, where visits and plans of a document and country already lie together.
     """
-    slotted = _slotted(visits)
-    paired = _typed(plans, slotted, visits).distinct().drop("plan_slot")
-    alone = _alone(plans, slotted).distinct()
-    return paired.unionByName(_unplanned(plans, alone, visits))
+    others = [c for c in plans.columns if c not in ("planmvtyp", "planmvstat")]
+    merged = plans.groupBy(*others).agg(
+        F.collect_set(F.struct("planmvtyp", "planmvstat")).alias("kinds"))
+
+    def kind(planmvtyp: Column, planmvstat: Column) -> Column:
+        return F.struct(planmvtyp.alias("planmvtyp"), planmvstat.alias("planmvstat"))
+
+    lost = F.transform("kinds", lambda k: kind(k["planmvtyp"], _when_lost(k["planmvstat"])))
+    actual = F.transform("kinds", lambda k: kind(F.col("visitid"), k["planmvstat"]))
+    alone = F.array(kind(F.col("visitid"), F.lit(None)))
+    kinds = (
+        F.when(F.col("slot").isNull(), F.array_distinct(lost))
+        .when(F.col("plan_slot").isNull(), alone)
+        .otherwise(F.array_union("kinds", actual))
+    )
+    own = {c: F.coalesce(c, f"slot.{c}") for c in VISIT_KEY[:-1]}
+    own |= {c: F.col(f"kind.{c}") for c in ("planmvtyp", "planmvstat")}
+    return _met(merged, visits, "full").withColumn("kind", F.explode(kinds)).select(
+        *(own.get(c, F.col(c)).alias(c) for c in plans.columns), *_visit_columns(visits))
 
 
 def _typed(plans: DataFrame, slotted: DataFrame, visits: DataFrame) -> DataFrame:
@@ -108,6 +121,23 @@ def _paired(plans: DataFrame, slotted: DataFrame, how: str = "left") -> DataFram
     ).withColumn("mvdat", F.col("slot.mvdat"))
 
 
+def _met(plans: DataFrame, visits: DataFrame, how: str) -> DataFrame:
+    """Plans and visits of the same slot, joined where a document and country lie together.
+
+    Document and country are keys of their own beside the slot, so that visits and plans that
+    already lie together by these are not shuffled for the join.
+    """
+    # Rows without a document or country meet none, by the slot as well.
+    placed = _slotted(visits.withColumns(
+        {"at_docid": F.col("docid"), "at_country": F.col("countryid")}))
+    same = (
+        (F.col("docid") == F.col("at_docid")) & (F.col("countryid") == F.col("at_country"))
+        & (F.col("plan_slot") == F.col("slot"))
+    )
+    return plans.withColumn("plan_slot", _plan_slot()).join(placed, same, how).withColumn(
+        "mvdat", F.col("slot.mvdat"))
+
+
 def _is_placed() -> Column:
     known = F.col("docid").isNotNull() & F.col("countryid").isNotNull()
     return known & F.col("planmvdat").isNotNull()
@@ -153,8 +183,13 @@ def _unplanned(plans: DataFrame, alone: DataFrame, visits: DataFrame) -> DataFra
 
 
 def _status() -> Column:
-    lost = (F.col("planmvstat") == COMPLETED) & F.col("slot").isNull()
-    return F.when(lost, COMPLETED_WITHOUT_VISIT).otherwise(F.col("planmvstat"))
+    status = F.col("planmvstat")
+    return F.when(F.col("slot").isNull(), _when_lost(status)).otherwise(status)
+
+
+def _when_lost(status: Column) -> Column:
+    """Status of a plan that no visit meets."""
+    return F.when(status == COMPLETED, COMPLETED_WITHOUT_VISIT).otherwise(status)
 
 
 def _visit_columns(visits: DataFrame) -> list[str]:

@@ -30,7 +30,7 @@ from visittrail.operators.approvals import approval_steps, complete_approvals, s
 from visittrail.operators.counted import COUNT
 from visittrail.operators.issues import data_issues, process_issues
 from visittrail.operators.plans import plan_flags, plan_monitors_agg, plan_site_links
-from visittrail.operators.reconcile import plan_visit_rows
+from visittrail.operators.reconcile import distinct_plan_visits, plan_visit_rows
 from visittrail.operators.sites import report_sites
 from visittrail.operators.visits import visit_flags, visit_summary, with_stage_dates
 from visittrail.schema import STUDY
@@ -44,14 +44,23 @@ def visit_report(
 
     Project names come from the fixed list, or from (protocol, alias) rows when given.
     """
-    return studies_report(tables, as_of, aliases).drop(STUDY)
+    # Joins by slot alone, which can be split on a slot that holds many rows.
+    reconciled = plan_visit_rows(
+        plans_with_monitors(tables), distinct_visits(tables, as_of), plan_flags(tables.plan))
+    return _reported(reconciled, tables, as_of, aliases).drop(STUDY)
 
 
 def studies_report(
     tables: StudyTables, as_of: datetime.date, aliases: DataFrame | None = None
 ) -> DataFrame:
     """The report of several studies in one job, the study prefix in front."""
-    reconciled = plan_visit_rows(plans_with_monitors(tables), distinct_visits(tables, as_of))
+    reconciled = distinct_plan_visits(plans_with_monitors(tables), distinct_visits(tables, as_of))
+    return _reported(reconciled, tables, as_of, aliases)
+
+
+def _reported(
+    reconciled: DataFrame, tables: StudyTables, as_of: datetime.date, aliases: DataFrame | None
+) -> DataFrame:
     rows = shown_rows(with_day_counts(reconciled), as_of)
     sites = report_sites(tables.site, tables.sites, tables.study)
     joined = rows.join(sites, [STUDY, "docid"], "left")

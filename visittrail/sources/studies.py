@@ -20,6 +20,8 @@ from visittrail.schema import (
 
 # True on plan rows of studies whose plan table records the visit type at all.
 TYPED_PLANS = "typed_plans"
+# Deletes the shuffled files of a command when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass(frozen=True)
@@ -158,11 +160,18 @@ def labelled(tables: StudyTables, prefix: str) -> StudyTables:
 def stored_study(tables: StudyTables, folder: str) -> StudyTables:
     """The same study with plans, steps and links written to a folder and read from there.
 
-    The report reads these many times; where they are derived by joins, they are so once.
+    The report reads these many times; where they are derived by joins, they are so once, and what
+    these joins shuffled is deleted when a table is written.
     """
     def stored(kind: str) -> DataFrame:
         table = getattr(tables, kind)
-        table.write.parquet(f"{folder}/{kind}")
+        conf = table.sparkSession.conf
+        usual = conf.get(SHUFFLE_CLEANUP, "false")
+        conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            table.write.parquet(f"{folder}/{kind}")
+        finally:
+            conf.set(SHUFFLE_CLEANUP, usual)
         return table.sparkSession.read.schema(table.schema).parquet(f"{folder}/{kind}")
 
     return replace(tables, **{kind: stored(kind) for kind in ("plan", "mv", "link")})
