@@ -2,9 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from visittrail.llm import toxicity
+from visittrail.llm import common, toxicity
 
 
 def made(n=1500, seed=3):
@@ -83,3 +84,11 @@ def test_risk_of_the_clean_part_does_not_fall_below_zero():
     w, b = toxicity.nn_pu(p, u, 0.1)
     found = u @ w + b > 0
     assert found[:200].mean() > 0.9 and found[200:].mean() < 0.1
+
+
+def test_scoring_drops_what_a_worker_kept_for_another_operator(spark):
+    common.kept("words", lambda: [1])
+    assert common.kept("words", lambda: [2]) == [1]
+    scores = toxicity.toxicity(toxicity.Model(0.0)).func(pa.array(["a", None]))
+    assert scores.to_pylist() == [0.5, 0.5]
+    assert common.kept("words", lambda: [2]) == [2]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,18 @@ WORD_BYTES = bytes(
 )
 
 
+#: What the operator that a worker ran last keeps between its tasks.
+_KEPT: dict = {}
+
+
+def kept(name: Hashable, build: Callable):
+    """What build() gives, kept between the tasks of a worker; what others kept there goes first."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = build()
+    return _KEPT[name]
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """The settings of this subpackage, and a folder for what jobs hand to one another."""
     for name, value in SETTINGS.items():

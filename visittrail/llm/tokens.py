@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from visittrail.llm.common import prepare, utf8
+from visittrail.llm.common import kept, prepare, utf8
 
 #: Words that a worker remembers, up to this length.
 CACHED_WORDS, CACHED_BYTES = 250_000, 48
@@ -146,14 +146,8 @@ class WordIds(WordCache):
         return len(self.split.findall(unicodedata.normalize("NFC", word.decode()).lower()))
 
 
-#: Kept between the tasks of one worker.
-_READY: dict[str, WordIds] = {}
-
-
 def word_ids(name: str, spec: str) -> WordIds:
-    if name not in _READY:
-        _READY[name] = WordIds(spec)
-    return _READY[name]
+    return kept(("word ids", name), lambda: WordIds(spec))
 
 
 def encoded(ids: WordIds, texts: list[bytes]):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visittrail.llm.common import plain_words, prepare, utf8
+from visittrail.llm.common import kept, plain_words, prepare, utf8
 
 #: Words are hashed to so many features.
 FEATURES = 1 << 20
@@ -140,6 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 def _features(text: Column) -> Column:
     @F.arrow_udf("array<int>")
     def features(texts: pa.Array) -> pa.Array:
+        kept("toxicity", dict)
         return pa.array([sorted(features_of(t)) for t in utf8(texts)], pa.list_(pa.int32()))
 
     return features(text)
@@ -149,6 +150,7 @@ def toxicity(model: Model):
     """A column function: text to score; null and empty texts get that of a text without words."""
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
+        kept("toxicity", dict)
         return pa.array([model.score(features_of(t)) for t in utf8(texts)], pa.float64())
 
     return score
