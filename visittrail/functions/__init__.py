@@ -7,10 +7,16 @@ from visittrail.functions.dates import (
     week_start,
     weekdays_between,
 )
-from visittrail.functions.text import clean_text, joined_entries, joined_names, monitor_name
+from visittrail.functions.text import (
+    clean_text,
+    joined_entries,
+    joined_names,
+    monitor_name,
+    repeated,
+)
 
 __all__ = [
     "clean_text", "decode", "elapsed_days", "is_bad_stage_order", "is_weekend",
     "joined_entries", "joined_names", "latest_stage", "monitor_name", "period_label",
-    "protocol_alias", "visit_length", "week_start", "weekdays_between",
+    "protocol_alias", "repeated", "visit_length", "week_start", "weekdays_between",
 ]
